@@ -49,11 +49,16 @@ def bracketed(text: Column) -> Column:
 def strict_array(text: Column, element: str) -> Column:
     """Parse one JSON array and nothing but that array.
 
-    A plain ``from_json`` ignores whatever follows the first array. Wrapped in one more pair of
-    brackets, trailing text either breaks the parse or makes a second element.
+    A plain ``from_json`` ignores whatever follows the first value. So the text is put inside an
+    array inside an object with a second field: text after the array breaks the parse, makes a
+    second element, or closes the object before the second field.
     """
-    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<array<{element}>>")
-    return F.when(F.size(wrapped) == 1, F.get(wrapped, F.lit(0)))
+    wrapped = F.from_json(
+        F.concat(F.lit('{"only":['), text, F.lit('],"end":true}')),
+        f"only array<array<{element}>>, end boolean",
+    )
+    whole = wrapped["end"] & (F.size(wrapped["only"]) == 1)
+    return F.when(whole, F.get(wrapped["only"], F.lit(0)))
 
 
 QA_ITEM = "struct<question:string,answer:string>"

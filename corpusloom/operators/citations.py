@@ -72,8 +72,8 @@ def add_entities(known: DataFrame, more: DataFrame) -> DataFrame:
 def extract(answers: DataFrame, key: str = "id", answer: str = "answer") -> DataFrame:
     """One row per marker: key, its place in the answer, raw text, domain and entity id."""
     return answers.select(
-        key, F.posexplode(tx.citations(F.col(answer))).alias("at", "c")
-    ).select(key, (F.col("at") + 1).alias("at"), "c.*")
+        key, F.posexplode(tx.citations(F.col(answer))).alias("place", "c")
+    ).select(key, (F.col("place") + 1).alias("place"), "c.*")
 
 
 def from_pairs(answers: DataFrame, known: DataFrame | None = None, key: str = "id") -> DataFrame:
@@ -106,7 +106,7 @@ def check(
 
     wanted = cites.withColumn("_id", folded(cites))
     ids = known.select("domain", folded(known).alias("_id")).distinct().withColumn("_known", F.lit(True))
-    joined = lookup_join(wanted, ids, ["domain", "_id"], [key, "at"])
+    joined = lookup_join(wanted, ids, ["domain", "_id"], [key, "place"])
     checked = F.col("domain").isin(loaded) if loaded else F.lit(False)
     valid = ~checked | F.coalesce("_known", F.lit(False))
     error = F.concat(
