@@ -46,19 +46,29 @@ def bracketed(text: Column) -> Column:
     return F.when(there, F.substring(text, first, last - first + 1))
 
 
-def strict_array(text: Column, element: str) -> Column:
-    """Parse one JSON array and nothing but that array.
+def parse_array(df: DataFrame, text: str, out: str, element: str) -> DataFrame:
+    """Adds ``<out>_raw``: the one JSON array in a text, NULL when there is none or more than that;
+    and ``<out>_span``: the text it was read from.
 
-    A plain ``from_json`` ignores whatever follows the first value. So the text is put inside an
+    A plain ``from_json`` ignores whatever follows the first value. So the span is put inside an
     array inside an object with a second field: text after the array breaks the parse, makes a
-    second element, or closes the object before the second field.
+    second element, or closes the object before the second field. Every step is a column of its
+    own, so that nothing is parsed twice.
     """
-    wrapped = F.from_json(
-        F.concat(F.lit('{"only":['), text, F.lit('],"end":true}')),
-        f"only array<array<{element}>>, end boolean",
+    span, wrapped = f"{out}_span", f"_{out}_wrapped"
+    whole = F.col(wrapped)["end"] & (F.size(F.col(wrapped)["only"]) == 1)
+    return (
+        df.withColumn(span, bracketed(F.col(text)))
+        .withColumn(
+            wrapped,
+            F.from_json(
+                F.concat(F.lit('{"only":['), F.col(span), F.lit('],"end":true}')),
+                f"only array<array<{element}>>, end boolean",
+            ),
+        )
+        .withColumn(f"{out}_raw", F.when(whole, F.get(F.col(wrapped)["only"], F.lit(0))))
+        .drop(wrapped)
     )
-    whole = wrapped["end"] & (F.size(wrapped["only"]) == 1)
-    return F.when(whole, F.get(wrapped["only"], F.lit(0)))
 
 
 QA_ITEM = "struct<question:string,answer:string>"
@@ -68,40 +78,36 @@ def parse_qa(df: DataFrame, text: str, out: str, whole_items: bool = False) -> D
     """Adds ``<out>_state`` (none, ok or malformed) and ``<out>_items`` for a model answer.
 
     With ``whole_items`` an item without question or answer spoils the answer, as in the first
-    pass. Every step is a column of its own, so that nothing is parsed twice.
+    pass.
     """
-    span, raw = f"_{out}_span", f"_{out}_raw"
-    item, state = F.col(raw), F.col(f"{out}_state")
+    raw, state = F.col(f"{out}_raw"), F.col(f"{out}_state")
 
     def broken(x: Column) -> Column:
         if whole_items:
             return x.isNull() | x["question"].isNull() | x["answer"].isNull()
         return x.isNull()
 
-    bad = item.isNull() | F.exists(item, broken)
     none = F.array().cast(f"array<{QA_ITEM}>")
     return (
-        df.withColumn(span, bracketed(F.col(text)))
-        .withColumn(raw, strict_array(F.col(span), QA_ITEM))
+        parse_array(df, text, out, QA_ITEM)
         .withColumn(
             f"{out}_state",
-            F.when(F.col(span).isNull(), F.lit("none"))
-            .when(bad, F.lit("malformed"))
+            F.when(F.col(f"{out}_span").isNull(), F.lit("none"))
+            .when(raw.isNull() | F.exists(raw, broken), F.lit("malformed"))
             .otherwise(F.lit("ok")),
         )
-        .withColumn(f"{out}_items", F.when(state == "ok", item).otherwise(none))
-        .drop(span, raw)
+        .withColumn(f"{out}_items", F.when(state == "ok", raw).otherwise(none))
+        .drop(f"{out}_raw", f"{out}_span")
     )
 
 
-def parse_scores(text: Column) -> Column:
-    """Judge answer to ``array<struct(pair_id, f, r, c, issues)>``, NULL when there is none.
+def parse_scores(df: DataFrame, text: str, out: str = "scores") -> DataFrame:
+    """Adds ``out``: the judge entries as ``array<struct(pair_id, f, r, c, issues)>``, NULL when
+    there is no readable array.
 
     Elements are read as maps so that a missing score (counts as 0) and an explicit null or a
     non-number (leaves the pair unscored) stay apart.
     """
-    items = strict_array(bracketed(text), "map<string,string>")
-    usable = F.filter(items, lambda m: m.isNotNull() & m["pair_id"].isNotNull())
 
     def score(m: Column, name: str) -> Column:
         given = F.map_contains_key(m, F.lit(name))
@@ -118,7 +124,12 @@ def parse_scores(text: Column) -> Column:
             F.when(F.map_contains_key(m, F.lit("issues")), issues).otherwise(none).alias("issues"),
         )
 
-    return F.transform(usable, entry)
+    usable = F.filter(f"_{out}_raw", lambda m: m.isNotNull() & m["pair_id"].isNotNull())
+    return (
+        parse_array(df, text, f"_{out}", "map<string,string>")
+        .withColumn(out, F.transform(usable, entry))
+        .drop(f"_{out}_raw", f"_{out}_span")
+    )
 
 
 def filled(c: Column) -> Column:

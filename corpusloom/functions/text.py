@@ -126,10 +126,9 @@ def split_citation(raw: Column) -> Column:
     return F.struct(raw.alias("raw"), domain.alias("domain"), entity_id.alias("entity_id"))
 
 
-def citations(answer: Column) -> Column:
+def citation_markers(answer: Column) -> Column:
     """All markers of a text in order, found in one pass."""
-    found = F.regexp_extract_all(answer, F.lit(CITATION), F.lit(0))
-    return F.transform(found, split_citation)
+    return F.regexp_extract_all(answer, F.lit(CITATION), F.lit(0))
 
 
 def parse_citation(raw: Column) -> Column:

@@ -71,9 +71,16 @@ def add_entities(known: DataFrame, more: DataFrame) -> DataFrame:
 
 def extract(answers: DataFrame, key: str = "id", answer: str = "answer") -> DataFrame:
     """One row per marker: key, its place in the answer, raw text, domain and entity id."""
-    return answers.select(
-        key, F.posexplode(tx.citations(F.col(answer))).alias("place", "c")
-    ).select(key, (F.col("place") + 1).alias("place"), "c.*")
+    # outer form: the plain one would search every answer twice, see pairs.explode_pairs
+    found = answers.select(key, F.posexplode_outer(tx.citation_markers(F.col(answer))).alias("place", "raw"))
+    marker = tx.split_citation(F.col("raw"))
+    return found.where("place IS NOT NULL").select(
+        key,
+        (F.col("place") + 1).alias("place"),
+        "raw",
+        marker["domain"].alias("domain"),
+        marker["entity_id"].alias("entity_id"),
+    )
 
 
 def from_pairs(answers: DataFrame, known: DataFrame | None = None, key: str = "id") -> DataFrame:

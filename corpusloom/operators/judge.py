@@ -77,7 +77,7 @@ def apply_to_list(df: DataFrame, answer: str, pairs: str = "pairs") -> DataFrame
         return F.struct(x["pair"].alias("pair"), with_confidence(x["score"]).alias("score"))
 
     return (
-        df.withColumn("_scores", parse_scores(F.col(answer)))
+        parse_scores(df, answer, "_scores")
         .withColumn("_scored", F.transform(pairs, with_last))
         .withColumn("_scored", F.transform("_scored", ready))
         .withColumn(
@@ -90,7 +90,9 @@ def apply_to_list(df: DataFrame, answer: str, pairs: str = "pairs") -> DataFrame
 
 def score_rows(answers: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """Judge answers to one row per (key, pair_id); the last of several entries wins."""
-    entries = answers.select(*key, F.posexplode(parse_scores(F.col(text))).alias("_at", "s"))
+    parsed = parse_scores(answers, text, "_scores")
+    # the outer form keeps the optimizer from testing the list, that is, parsing, once more
+    entries = parsed.select(*key, F.posexplode_outer("_scores").alias("_at", "s")).where("_at IS NOT NULL")
     fields = ["faithfulness", "relevance", "completeness", "issues"]
     last = entries.groupBy(*key, F.col("s.pair_id").alias("pair_id")).agg(
         F.max_by(F.struct(*[F.col("s")[f].alias(f) for f in fields]), F.col("_at")).alias("score")

@@ -127,7 +127,10 @@ def pair_array(
 
 
 def explode_pairs(df: DataFrame, column: str = "pairs") -> DataFrame:
-    """Entity rows with a pair list to pair rows in their order."""
-    return df.select("ordinal", F.posexplode(column).alias("sub", "pair")).select(
-        "ordinal", "sub", "pair.*"
-    )
+    """Entity rows with a pair list to pair rows in their order.
+
+    The outer form is on purpose: for the plain one the optimizer adds a test of the list size
+    below all the parsing, which would then run twice.
+    """
+    rows = df.select("ordinal", F.posexplode_outer(column).alias("sub", "pair"))
+    return rows.where("sub IS NOT NULL").select("ordinal", "sub", "pair.*")

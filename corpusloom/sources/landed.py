@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENVELOPE = "content array<struct<type:string,text:string>>"
@@ -22,41 +22,42 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def unwrap(value: Column) -> Column:
-    """The text inside a tool-response envelope; anything else passes through unchanged."""
-    first = F.get(F.from_json(value, ENVELOPE)["content"], F.lit(0))
-    return F.when(first["type"] == "text", F.coalesce(first["text"], F.lit(""))).otherwise(value)
+def unwrap(pages: DataFrame) -> DataFrame:
+    """Adds ``body``: the text inside a tool-response envelope; anything else passes through."""
+    first = F.get(F.col("_envelope")["content"], F.lit(0))
+    inner = F.coalesce(first["text"], F.lit(""))
+    body = F.when(first["type"] == "text", inner).otherwise(F.col("value"))
+    return pages.withColumn("_envelope", F.from_json("value", ENVELOPE)).withColumn("body", body).drop("_envelope")
 
 
-def items_of(body: Column, item_type: str, keys: tuple[str, ...]) -> Column:
-    """The first present list among ``keys``; a dotted key looks one level down. No list gives NULL."""
-    found = []
+def body_type(item_type: str, keys: tuple[str, ...]) -> str:
+    """One type with all the list keys, so that a body is parsed once."""
+    fields = []
     for key in keys:
-        steps = key.split(".")
-        schema = f"array<{item_type}>"
-        for step in reversed(steps):
-            schema = f"struct<`{step}`:{schema}>"
-        node = F.from_json(body, schema)
-        for step in steps:
-            node = node[step]
-        found.append(node)
-    return F.coalesce(*found)
+        head, _, tail = key.partition(".")
+        listed = f"array<{item_type}>"
+        fields.append(f"`{head}` " + (f"struct<`{tail}`:{listed}>" if tail else listed))
+    return ", ".join(fields)
 
 
 def explode_items(pages: DataFrame, item_type: str, keys: tuple[str, ...]) -> DataFrame:
-    """Pages (``page, value``) to one row per item: ``ordinal`` plus the item's fields."""
-    body = unwrap(F.col("value"))
-    items = pages.select("page", F.posexplode(items_of(body, item_type, keys)).alias("pos", "item"))
-    return items.select(
+    """Pages (``page, value``) to one row per item: ``ordinal`` plus the item's fields.
+
+    The first present list among ``keys`` counts; a dotted key looks one level down. The outer
+    explode is on purpose: the plain one would add a test of the list and parse the page twice.
+    """
+    parsed = unwrap(pages).withColumn("_b", F.from_json("body", body_type(item_type, keys)))
+    listed = F.coalesce(*[F.col(f"_b.{key}") for key in keys])
+    items = parsed.select("page", F.posexplode_outer(listed).alias("pos", "item"))
+    return items.where("pos IS NOT NULL").select(
         (F.col("page") * F.lit(PAGE_STRIDE) + F.col("pos")).alias("ordinal"), "item.*"
     )
 
 
 def explode_details(pages: DataFrame, detail_type: str) -> DataFrame:
-    """Per-entity detail responses (``key, value``) to ``entity_id, detail``; unreadable ones drop out."""
-    detail = F.from_json(unwrap(F.col("value")), detail_type)
-    return pages.select(F.col("key").alias("entity_id"), detail.alias("detail")).where(
-        F.col("detail").isNotNull()
+    """Per-entity detail responses (``key, value``) to ``entity_id, detail``; unreadable ones are NULL."""
+    return unwrap(pages).select(
+        F.col("key").alias("entity_id"), F.from_json("body", detail_type).alias("detail")
     )
 
 
