@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..settings import PART_SIZE
+from ..settings import PART_SIZE, stable
 from .skew import lookup_join, positions
 
 # ---- fixed values: thresholds, word lists, text formats --------------------------------------
@@ -224,14 +224,20 @@ def _parted_listing(members: DataFrame, template: Template, part_size: int) -> D
     )
 
 
-def listing(members: DataFrame, template: Template, part_size: int = PART_SIZE) -> DataFrame:
+def listing(
+    members: DataFrame,
+    template: Template,
+    part_size: int = PART_SIZE,
+    keys: DataFrame | None = None,
+) -> DataFrame:
     """One pair per group that names all members.
 
-    Group sizes are counted first (combined before the shuffle). Groups above ``part_size`` are
-    ranked and written in parts; the usual small groups need a single hash aggregate.
+    Group sizes are counted first (combined before the shuffle), on ``keys`` when the caller has a
+    cheaper frame with one ``group`` per member. Groups above ``part_size`` are ranked and written
+    in parts; the usual small groups need a single hash aggregate.
     """
     members = members.select(*MEMBER)
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = (members if keys is None else keys).groupBy("group").agg(F.count(F.lit(1)).alias("_n"))
     oversize = sizes.where(F.col("_n") > part_size).select("group")
     found = oversize.limit(OVERSIZE_KEYS + 1).count()
     if found == 0:
@@ -434,6 +440,14 @@ def software_members(links: DataFrame, resources: DataFrame) -> DataFrame:
     )
 
 
+def software_listing(
+    links: DataFrame, resources: DataFrame, template: Template, part_size: int = PART_SIZE
+) -> DataFrame:
+    """Availability per software. Every link gives one member, so the links have the group sizes."""
+    keys = links.select(F.col("software").alias("group"))
+    return listing(software_members(links, resources), template, part_size, keys)
+
+
 def gpu_software_members(links: DataFrame, resources: DataFrame) -> DataFrame:
     """Machine-learning software on GPU resources, each (software, resource) once."""
     wanted = links.where(F.lower("software").isin(ML_SOFTWARE))
@@ -444,10 +458,9 @@ def gpu_software_members(links: DataFrame, resources: DataFrame) -> DataFrame:
     gpu = resources.where(F.coalesce("has_gpu", F.lit(False))).select(
         F.col("entity_id").cast("string").alias("entity_id")
     )
-    kept = lookup_join(
-        distinct, gpu.distinct(), ["entity_id"], ["group"], how="inner"
-    )
-    return kept.withColumn("sub", F.lit(0))
+    kept = lookup_join(distinct, gpu.distinct(), ["entity_id"], ["group"], how="inner")
+    # few rows after two joins and an aggregate; they are counted first and then listed
+    return stable(kept.withColumn("sub", F.lit(0)))
 
 
 # ---- the comparisons -------------------------------------------------------------------------------
@@ -549,7 +562,7 @@ def generate(
             resources = software.sparkSession.createDataFrame([], empty)
         links = installed(software)
         several = installed(software.where(F.size("resources") >= SMALL_MINIMUM))
-        out.append(listing(software_members(several, resources), t["software"], part_size))
+        out.append(software_listing(several, resources, t["software"], part_size))
         out.append(listing(gpu_software_members(links, resources), t["gpu_software"], part_size))
     if projects is not None:
         out.append(sampled(by_field(projects, "fos"), t["project_field"]))

@@ -24,7 +24,8 @@ Encode = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 
 
 def generate(prompt_rows: DataFrame, factory: Factory, key: list[str], max_tokens: int = 2048) -> DataFrame:
-    """``key..., text, error`` for rows with ``system, user``. A failing call costs only its own row."""
+    """``key..., text, error`` for rows with ``system, user``. A failing call costs only its own row;
+    a row whose ``system`` is NULL is passed on without a call."""
     key_fields = ", ".join(f"`{k}` {prompt_rows.schema[k].dataType.simpleString()}" for k in key)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -32,12 +33,14 @@ def generate(prompt_rows: DataFrame, factory: Factory, key: list[str], max_token
         for batch in batches:
             texts, errors = [], []
             for system, user in zip(batch["system"], batch["user"]):
-                try:
-                    texts.append(call(system, user, max_tokens))
-                    errors.append(None)
-                except Exception as problem:  # noqa: BLE001 - any backend failure is per row
-                    texts.append(None)
-                    errors.append(f"{type(problem).__name__}: {problem}")
+                text = error = None
+                if system is not None:
+                    try:
+                        text = call(system, user, max_tokens)
+                    except Exception as problem:  # noqa: BLE001 - any backend failure is per row
+                        error = f"{type(problem).__name__}: {problem}"
+                texts.append(text)
+                errors.append(error)
             out = batch[key].copy()
             out["text"] = pd.Series(texts, index=out.index, dtype=object)
             out["error"] = pd.Series(errors, index=out.index, dtype=object)
@@ -47,24 +50,26 @@ def generate(prompt_rows: DataFrame, factory: Factory, key: list[str], max_token
     return rows.mapInPandas(run, f"{key_fields}, text string, error string")
 
 
-def _answered(
-    rows: DataFrame, factory: Factory, prefix: str, max_tokens: int, tasks: int | None = None
-) -> DataFrame:
+def _answered(rows: DataFrame, factory: Factory, prefix: str, max_tokens: int) -> DataFrame:
     """``rows`` (with ``system, user``) plus ``<prefix>_text`` and ``<prefix>_error``.
 
     All columns are scalars and travel through the Python stage, which costs Arrow copies but no
     join. The result is written once: nothing downstream can trigger a second round of calls.
-    ``tasks`` spreads the calls evenly over that many tasks.
     """
     columns = [c for c in rows.columns if c not in ("system", "user")]
-    if tasks:
-        rows = rows.repartition(tasks, "entity_id", "ordinal")
     answers = generate(rows, factory, columns, max_tokens)
     return stable(
         answers.withColumnRenamed("text", f"{prefix}_text").withColumnRenamed("error", f"{prefix}_error")
     )
 
 
+def spread(entities: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Entities in even tasks. Calls are so slow that an uneven or short list of tasks costs far
+    more than this shuffle; the number of tasks is fixed so that it is not merged away."""
+    tasks = tasks or int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return entities.repartition(tasks, "entity_id", "ordinal")
+
+
 def two_pass(
     entities: DataFrame,
     spec: DomainSpec,
@@ -74,26 +79,26 @@ def two_pass(
     tasks: int | None = None,
 ) -> DataFrame:
     """Entities (``domain, entity_id, entity_name, ordinal, entity_json, source_data, source_hash``)
-    to the same rows with ``pairs``. The second pass runs only where the first gave items."""
+    to the same rows with ``pairs``. Rows without items from the first pass get no second prompt,
+    so they stay in the same plan without a second call."""
     domain = F.lit(spec.name)
     user = prompts.user_prompt(domain, F.col("entity_id"), F.col("user_json"), F.col("entity_name"))
-    base = [c for c in entities.columns]
-    first = entities.withColumn("user_json", indent_json("entity_json"))
-    first = first.withColumn("system", F.lit(prompts.battery_system(spec.name))).withColumn("user", user)
-    first = _answered(first, factory, "first", max_tokens, tasks)
-    first = pairing.parse_battery(first, "first_text")
-    more = F.size("battery_items") > 0
+    base = entities.columns
+    rows = spread(entities, tasks).withColumn("user_json", indent_json("entity_json"))
+    rows = rows.withColumn("system", F.lit(prompts.battery_system(spec.name))).withColumn("user", user)
+    rows = _answered(rows, factory, "first", max_tokens).drop("first_error")
 
     before, after = prompts.discovery_parts(spec.name)
     existing = F.concat(F.lit(before), prompts.existing_block(F.col("battery_items")), F.lit(after))
-    second = first.where(more).withColumn("system", existing).withColumn("user", user)
-    second = second.drop("battery_items", "battery_state", "first_error")
-    second = _answered(second, factory, "second", max_tokens, tasks)
-    second = pairing.parse_battery(second, "first_text")
-    second = pairing.parse_discovery(second, "second_text")
+    rows = pairing.parse_battery(rows, "first_text")
+    rows = rows.withColumn("system", F.when(F.size("battery_items") > 0, existing))
+    rows = rows.withColumn("user", F.when(F.col("system").isNotNull(), user))
+    rows = rows.drop("battery_items", "battery_state")
+    rows = _answered(rows, factory, "second", max_tokens).drop("user_json")
+
+    rows = pairing.parse_battery(rows, "first_text")
+    rows = pairing.parse_discovery(rows, "second_text")
     items = pairing.merge_passes(F.col("second_error").isNotNull(), keep_battery)
-    done = second.withColumn("items", items).select(*base, "items")
-    rest = first.where(~more).withColumn("items", F.col("battery_items")).select(*base, "items")
     made = pairing.pair_array(
         F.col("items"),
         domain,
@@ -103,27 +108,22 @@ def two_pass(
         F.col("source_data"),
         F.col("source_hash"),
     )
-    return done.unionByName(rest).select(*base, made.alias("pairs"))
+    return rows.withColumn("items", items).select(*base, made.alias("pairs"))
 
 
-def judge(
-    entities: DataFrame, factory: Factory | None, max_tokens: int = 2048, tasks: int | None = None
-) -> DataFrame:
+def judge(entities: DataFrame, factory: Factory | None, max_tokens: int = 2048) -> DataFrame:
     """Scores on the pair lists of the rows; one call per entity with pairs, none without a judge."""
     if factory is None:
         return entities
-    has_pairs = F.size("pairs") > 0
-    asked = entities.where(has_pairs).withColumn("system", F.lit(prompts.JUDGE_SYSTEM))
-    asked = asked.withColumn(
-        "user", prompts.judge_user(indent_json("source_data"), prompts.judge_block(F.col("pairs")))
+    asked = entities.withColumn(
+        "system", F.when(F.size("pairs") > 0, F.lit(prompts.JUDGE_SYSTEM))
     )
-    keep = entities.columns
+    message = prompts.judge_user(indent_json("source_data"), prompts.judge_block(F.col("pairs")))
+    asked = asked.withColumn("user", F.when(F.size("pairs") > 0, message))
     packed = asked.withColumn("_pairs", F.to_json("pairs")).drop("pairs")
-    answered = _answered(packed, factory, "judge", max_tokens, tasks)
-    pairs_type = entities.schema["pairs"].dataType
-    answered = answered.withColumn("pairs", F.from_json("_pairs", pairs_type))
-    scored = judging.apply_to_list(answered, "judge_text")
-    return scored.select(*keep).unionByName(entities.where(~has_pairs).select(*keep))
+    answered = _answered(packed, factory, "judge", max_tokens)
+    answered = answered.withColumn("pairs", F.from_json("_pairs", entities.schema["pairs"].dataType))
+    return judging.apply_to_list(answered, "judge_text").select(*entities.columns)
 
 
 def embed(

@@ -89,7 +89,7 @@ def extract_domain(
         "full_hash",
     )
     made = infer.two_pass(todo, spec, backend, config.max_tokens, tasks=tasks)
-    made = infer.judge(made, None if config.no_judge else judge, config.max_tokens, tasks)
+    made = infer.judge(made, None if config.no_judge else judge, config.max_tokens)
     kept = incremental.replay(planned)
     fresh = pairing.explode_pairs(made)
     both = kept.select("ordinal", "sub", *PAIR_FIELDS).unionByName(

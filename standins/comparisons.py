@@ -289,8 +289,7 @@ SOFTWARE_SQL = f"""
 
 @query("cmp_software", listing_sql(SOFTWARE_SQL, T["software"]))
 def cmp_software(spark, sf):
-    members = compare.software_members(links(spark, sf), resources(spark, sf))
-    return flat(compare.listing(members, T["software"]))
+    return flat(compare.software_listing(links(spark, sf), resources(spark, sf), T["software"]))
 
 
 # part types stand for software names here, so a sixth of all rows belongs to one software
