@@ -55,7 +55,8 @@ def explode_items(pages: DataFrame, item_type: str, keys: tuple[str, ...]) -> Da
 
 
 def explode_details(pages: DataFrame, detail_type: str) -> DataFrame:
-    """Per-entity detail responses (``key, value``) to ``entity_id, detail``; unreadable ones are NULL."""
+    """Per-entity detail responses (``key, value``) to ``entity_id, detail``; unreadable ones
+    have NULL fields."""
     return unwrap(pages).select(
         F.col("key").alias("entity_id"), F.from_json("body", detail_type).alias("detail")
     )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def load_cache(spark: SparkSession, path: str | None) -> DataFrame:
     try:
         snapshot = spark.read.parquet(path)
         return snapshot.select("domain", "entity_id", "hash", "full_hash", "pairs")
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
         return empty_cache(spark)
 
 

@@ -447,23 +447,22 @@ def judge_decision(spark, sf):
 # ---- inference with deterministic backends -----------------------------------------------------------------------------
 
 
-def stub_backend():
-    """Echo of the prompt; fails on French ones."""
-
-    def call(system: str, user: str, max_tokens: int) -> str:
-        if system == "fr":
-            raise ValueError("no French")
-        return f"{system}/{max_tokens}: {user}"
-
-    return call
-
-
 @query(
     "infer_stub",
     """SELECT doc_id, CASE WHEN lang <> 'fr' THEN lang || '/64: ' || text END AS text,
          CASE WHEN lang = 'fr' THEN 'ValueError: no French' END AS error FROM documents""",
 )
 def infer_stub(spark, sf):
+    def stub_backend():
+        """Echo of the prompt; fails on French ones."""
+
+        def call(system: str, user: str, max_tokens: int) -> str:
+            if system == "fr":
+                raise ValueError("no French")
+            return f"{system}/{max_tokens}: {user}"
+
+        return call
+
     rows = table(spark, sf, "documents").select(
         "doc_id", F.col("lang").alias("system"), F.col("text").alias("user")
     )
@@ -517,19 +516,15 @@ def embed_join(spark, sf):
     )
 
 
-def length_encoder():
-    def encode(texts):
-        return [[len(t), t.count(" ")] for t in texts]
-
-    return encode
-
-
 @query(
     "embed_map",
     """SELECT doc_id, length(text)::double AS length, (length(text) - length(replace(text, ' ', '')))::double AS blanks
        FROM documents""",
 )
 def embed_map(spark, sf):
+    def length_encoder():
+        return lambda texts: [[len(t), t.count(" ")] for t in texts]
+
     docs = table(spark, sf, "documents").select("doc_id", "text")
     rows = infer.embed(docs, length_encoder, "doc_id", "text")
     return rows.select(
