@@ -2,6 +2,7 @@
 
 from .operators.domains import REGISTRY, DomainSpec, register
 from .plans.extract import Run, extract_domain, run, scan_catalog, scan_catalog_details
+from .plans.inspect import coverage, stats
 from .plans.publish import push, push_file, push_snapshots, validate
 from .settings import ExtractionConfig, build_session
 
@@ -11,6 +12,7 @@ __all__ = [
     "ExtractionConfig",
     "Run",
     "build_session",
+    "coverage",
     "extract_domain",
     "push",
     "push_file",
@@ -19,5 +21,6 @@ __all__ = [
     "run",
     "scan_catalog",
     "scan_catalog_details",
+    "stats",
     "validate",
 ]

@@ -2,7 +2,9 @@
 
 Inputs are long: one row per (group value, entity) with columns ``group, label, name, ordinal,
 sub, entity_id``. ``ordinal`` is the arrival position of the entity and ``sub`` the position of
-the value inside the entity; together they give arrival order within a group.
+the value inside the entity; together they give arrival order within a group. ``label`` is the
+text shown for the group and depends on the group alone, so both can be grouped on (a text as an
+aggregate would force a sort before the partial aggregate).
 
 Two shapes of answer exist. *Listings* name every member; a group of more than ``part_size``
 members is written as ordered parts, whose ``answer`` texts and ``resources`` lists joined in part
@@ -116,9 +118,8 @@ def _finish(rows: DataFrame, template: Template) -> DataFrame:
 def _whole_listing(members: DataFrame, template: Template) -> DataFrame:
     """Groups of at most ``part_size`` members: one bounded list per group."""
     grouped = (
-        members.groupBy("group")
+        members.groupBy("group", "label")
         .agg(
-            F.max("label").alias("label"),
             F.count(F.lit(1)).alias("members"),
             F.array_sort(F.collect_list(F.struct("name", "ordinal", "sub", "entity_id"))).alias("_m"),
         )
@@ -193,12 +194,7 @@ def _parted_listing(members: DataFrame, template: Template, part_size: int) -> D
         ).alias("p"),
     ).select("group", "label", "members", "parts", "p.*")
     ordered = F.array_sort(F.collect_list(F.struct("side", "seq", "piece", "entity_id")))
-    texts = pieces.groupBy("group", "part").agg(
-        F.max("label").alias("label"),
-        F.max("members").alias("members"),
-        F.max("parts").alias("parts"),
-        ordered.alias("_p"),
-    )
+    texts = pieces.groupBy("group", "part", "label", "members", "parts").agg(ordered.alias("_p"))
     texts = texts.select(
         "group",
         "label",
@@ -266,9 +262,7 @@ def _first_rows(members: DataFrame, order: list[str], alias: str) -> DataFrame:
 def sampled(members: DataFrame, template: Template) -> DataFrame:
     """One pair per group with the member count and the first five names."""
     members = members.select(*MEMBER)
-    counts = members.groupBy("group").agg(
-        F.max("label").alias("label"), F.count(F.lit(1)).alias("members")
-    )
+    counts = members.groupBy("group", "label").agg(F.count(F.lit(1)).alias("members"))
     by_name = _first_rows(members, ["name", "ordinal", "sub", "entity_id"], "_names")
     by_arrival = _first_rows(members, ["ordinal", "sub", "entity_id"], "_first")
     joined = (
@@ -452,8 +446,8 @@ def gpu_software_members(links: DataFrame, resources: DataFrame) -> DataFrame:
     """Machine-learning software on GPU resources, each (software, resource) once."""
     wanted = links.where(F.lower("software").isin(ML_SOFTWARE))
     rows = software_members(wanted, resources).where("resolved")
-    distinct = rows.groupBy("group", "entity_id").agg(
-        F.max("label").alias("label"), F.max("name").alias("name"), F.min("ordinal").alias("ordinal")
+    distinct = rows.groupBy("group", "label", "entity_id", "name").agg(
+        F.min("ordinal").alias("ordinal")
     )
     gpu = resources.where(F.coalesce("has_gpu", F.lit(False))).select(
         F.col("entity_id").cast("string").alias("entity_id")

@@ -98,14 +98,19 @@ def coming_soon(name: str = "name", description: str = "description") -> Column:
 
 
 def page_estimate(first_page: DataFrame, pages: Column, source: str, id_column: str) -> DataFrame:
-    """Coverage from one page: items on it times the number of pages (``pages`` is on every row)."""
+    """Coverage from one page: items on it times the number of pages. One page is bounded."""
     ordered = F.array_sort(
         F.collect_list(
             F.when(present(id_column), F.struct("ordinal", F.col(id_column).cast("string").alias("_id")))
         )
     )
     ids = F.array_join(F.transform(F.slice(ordered, 1, SAMPLE_IDS), lambda s: s["_id"]), ", ")
-    estimate = F.count(F.lit(1)) * F.coalesce(F.max(pages), F.lit(1))
-    return first_page.agg(
-        estimate.alias("fetched"), estimate.alias("unique_entities"), ids.alias("sample_ids")
-    ).select(F.lit(source).alias("source"), F.lit("list-all").alias("strategy"), "*")
+    found = first_page.agg(F.count(F.lit(1)).alias("n"), ids.alias("sample_ids"))
+    estimate = F.col("n") * pages
+    return found.select(
+        F.lit(source).alias("source"),
+        F.lit("list-all").alias("strategy"),
+        estimate.cast("bigint").alias("fetched"),
+        estimate.cast("bigint").alias("unique_entities"),
+        "sample_ids",
+    )

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .skew import lookup_join
+
 INLINE_IDS = 1_000
 
 
@@ -26,13 +28,14 @@ def allow_list(df: DataFrame, ids: Sequence[str] | DataFrame | None, column: str
     """Keep the listed ids (exact text match); None keeps everything."""
     if ids is None:
         return df
-    if isinstance(ids, DataFrame):
-        wanted = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
-        return df.join(wanted, column, "left_semi")
-    if len(ids) <= INLINE_IDS:
-        return df.where(F.col(column).isin(list(ids)))
-    wanted = df.sparkSession.createDataFrame([(i,) for i in ids], f"{column} string").distinct()
-    return df.join(wanted, column, "left_semi")
+    if not isinstance(ids, DataFrame):
+        if len(ids) <= INLINE_IDS:
+            return df.where(F.col(column).isin(list(ids)))
+        ids = df.sparkSession.createDataFrame([(i,) for i in ids], f"{column} string")
+    wanted = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
+    # one row per id on the right, so the inner join keeps rows as they are; ids may repeat on the left
+    spread = ["ordinal"] if "ordinal" in df.columns else df.columns
+    return lookup_join(df, wanted, [column], spread, how="inner").select(*df.columns)
 
 
 def keep_first(df: DataFrame, key: Column | str, order: str = "ordinal") -> DataFrame:

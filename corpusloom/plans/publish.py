@@ -18,6 +18,12 @@ class Validation:
     verdicts: DataFrame
     summary: DataFrame
 
+    def require_valid(self) -> None:
+        """Raise when an answer cites an unknown entity (one summary row is fetched)."""
+        row = self.summary.first()
+        if not row["ok"]:
+            raise ValueError(f"{row['invalid']} of {row['total']} answers cite unknown entities")
+
 
 def validate(
     pairs: DataFrame,

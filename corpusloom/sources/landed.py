@@ -54,6 +54,13 @@ def explode_items(pages: DataFrame, item_type: str, keys: tuple[str, ...]) -> Da
     )
 
 
+def page_total(pages: DataFrame) -> DataFrame:
+    """First page only, with ``pages``: the number of pages it announces (1 when it does not)."""
+    first = unwrap(pages.where("page = 1"))
+    announced = F.from_json("body", "pages bigint")["pages"]
+    return first.select("page", "value", F.coalesce(announced, F.lit(1)).alias("pages"))
+
+
 def explode_details(pages: DataFrame, detail_type: str) -> DataFrame:
     """Per-entity detail responses (``key, value``) to ``entity_id, detail``; unreadable ones
     have NULL fields."""

@@ -530,3 +530,24 @@ def clean_software(spark, sf):
 def software_resources(spark, sf):
     listed = domains.software_resources(F.col("available_on_resources"))
     return software_items(spark, sf).select("ordinal", F.array_join(listed, "|").alias("resources"))
+
+
+# ---- coverage of landed catalogs -------------------------------------------------------------------------------
+
+
+@query(
+    "coverage_pages",
+    f"""SELECT 'allocations' AS source, 'list-all' AS strategy, count(*) * 9 AS fetched, count(*) * 9 AS unique_entities,
+          (SELECT string_agg(k, ', ' ORDER BY k::bigint) FROM (SELECT o_orderkey::varchar AS k FROM ({ORDER_ITEM_SQL})
+            WHERE o_orderkey < {PAGE} AND o_orderstatus <> 'P' ORDER BY o_orderkey LIMIT 5)) AS sample_ids
+        FROM ({ORDER_ITEM_SQL}) WHERE o_orderkey < {PAGE}
+        UNION ALL
+        SELECT 'nsf-awards', 'list-all', count(*), count(*),
+          (SELECT string_agg(k, ', ' ORDER BY n) FROM (SELECT {AWARD_NUMBER} AS k, c_custkey AS n FROM customer ORDER BY n LIMIT 5))
+        FROM customer""",
+)
+def coverage_pages(spark, sf):
+    """Projects are estimated from the first page (9 pages announced); awards are counted."""
+    from corpusloom.plans.inspect import coverage
+
+    return coverage({"allocations": project_pages(spark, sf), "nsf-awards": award_pages(spark, sf)})

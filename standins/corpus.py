@@ -488,7 +488,8 @@ def two_pass_pairs(spark, sf):
         F.to_json(F.struct(entity.alias("award"))).alias("source_data"),
         F.lit("0").alias("source_hash"),
     )
-    made = infer.two_pass(rows, REGISTRY["nsf-awards"], infer.echo_backend)
+    tasks = spark.sparkContext.defaultParallelism * 2
+    made = infer.two_pass(rows, REGISTRY["nsf-awards"], infer.echo_backend, tasks=tasks)
     made = pairs.explode_pairs(infer.judge(made, infer.echo_backend))
     return made.select(
         "id",

@@ -250,3 +250,42 @@ def test_watch_extracts_new_pages_once(spark, tmp_path):
     watch(spark, "nsf-awards", str(pages), out, infer.echo_backend).awaitTermination()
     assert spark.read.parquet(f"{out}/pairs/0").count() == 2 and spark.read.parquet(f"{out}/pairs/1").count() == 1
     assert tables.load_cache(spark, f"{out}/cache/1").count() == 3
+
+
+def test_coverage_of_all_catalogs(spark):
+    from corpusloom import coverage
+
+    def pages(*data):
+        return spark.createDataFrame([(n, json.dumps(d)) for n, d in enumerate(data, 1)], "page bigint, value string")
+
+    rows = coverage({
+        "compute-resources": pages({"resources": [{"id": "a", "name": "A COMING SOON"}, {"id": "b", "name": "B"}]}),
+        "software-discovery": pages({"items": [{"name": n} for n in ["GCC", "gcc", "", "abc"]]}),
+        "allocations": pages({"projects": [{"projectId": 1}, {"requestNumber": "r"}], "pages": 3}, {"projects": [{"projectId": 9}]}),
+        "nsf-awards": pages({"response": {"award": [{"id": "1"}, {"id": ""}]}}),
+        "affinity-groups": pages({"groups": [{"id": 1}, {"id": 1}, {"id": 2}]}),
+    }).collect()
+    assert {r.source: (r.fetched, r.unique_entities, r.sample_ids) for r in rows} == {
+        "compute-resources": (2, 1, "b"),
+        "software-discovery": (4, 2, "abc, gcc"),
+        "allocations": (6, 6, "1"),
+        "nsf-awards": (2, 1, "1"),
+        "affinity-groups": (3, 2, "1, 2"),
+    }
+
+
+def test_new_domain_with_pre_filter(spark):
+    spec = domains.DomainSpec(
+        name="datasets", collection="sets", item_type="struct<id:string,name:string,year:int>", list_keys=("sets",),
+        entity_id=lambda: F.col("id"), entity_name=lambda: F.col("name"),
+        clean=lambda df, config: F.struct("name", "year"), record=lambda df: [F.col("name")],
+        source_data=lambda: F.col("entity"), display="data sets", entity_type="data set",
+        pre_filter=lambda: F.col("year") > 2000,
+    )
+    domains.register(spec)
+    try:
+        data = {"sets": [{"id": "1", "name": "A", "year": 1999}, {"id": "2", "name": "B", "year": 2001}]}
+        out = run(spark, {"datasets": items(spark, "datasets", data)}, infer.echo_backend)
+        assert [r.id for r in out.pairs["datasets"].collect()] == ["datasets_2_1"] and "comparisons" not in out.pairs
+    finally:
+        del domains.REGISTRY["datasets"]
