@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,13 +71,16 @@ def add_entities(known: DataFrame, more: DataFrame) -> DataFrame:
     return both.distinct()
 
 
-def extract(answers: DataFrame, key: str = "id", answer: str = "answer") -> DataFrame:
+KEY = ("id",)
+
+
+def extract(answers: DataFrame, key: Sequence[str] = KEY, answer: str = "answer") -> DataFrame:
     """One row per marker: key, its place in the answer, raw text, domain and entity id."""
     # outer form: the plain one would search every answer twice, see pairs.explode_pairs
-    found = answers.select(key, F.posexplode_outer(tx.citation_markers(F.col(answer))).alias("place", "raw"))
+    found = answers.select(*key, F.posexplode_outer(tx.citation_markers(F.col(answer))).alias("place", "raw"))
     marker = tx.split_citation(F.col("raw"))
     return found.where("place IS NOT NULL").select(
-        key,
+        *key,
         (F.col("place") + 1).alias("place"),
         "raw",
         marker["domain"].alias("domain"),
@@ -83,7 +88,9 @@ def extract(answers: DataFrame, key: str = "id", answer: str = "answer") -> Data
     )
 
 
-def from_pairs(answers: DataFrame, known: DataFrame | None = None, key: str = "id") -> DataFrame:
+def from_pairs(
+    answers: DataFrame, known: DataFrame | None = None, key: Sequence[str] = KEY
+) -> DataFrame:
     """Entities cited by the pairs themselves, joined to those already known."""
     cited = extract(answers, key).select("domain", "entity_id")
     return cited.distinct() if known is None else add_entities(known, cited)
@@ -97,7 +104,7 @@ def check(
     cites: DataFrame,
     known: DataFrame,
     loaded: list[str],
-    key: str = "id",
+    key: Sequence[str] = KEY,
     case_insensitive: tuple[str, ...] = (),
 ) -> DataFrame:
     """Markers with ``valid`` and ``error``. Domains that were not loaded cannot be checked and pass.
@@ -113,7 +120,7 @@ def check(
 
     wanted = cites.withColumn("_id", folded(cites))
     ids = known.select("domain", folded(known).alias("_id")).distinct().withColumn("_known", F.lit(True))
-    joined = lookup_join(wanted, ids, ["domain", "_id"], [key, "place"])
+    joined = lookup_join(wanted, ids, ["domain", "_id"], [*key, "place"])
     checked = F.col("domain").isin(loaded) if loaded else F.lit(False)
     valid = ~checked | F.coalesce("_known", F.lit(False))
     error = F.concat(
@@ -124,12 +131,12 @@ def check(
     ).drop("_id", "_known")
 
 
-def per_answer(answers: DataFrame, checked: DataFrame, key: str = "id") -> DataFrame:
+def per_answer(answers: DataFrame, checked: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Every answer with its counts; ``all_valid`` needs at least one marker."""
-    sums = checked.groupBy(key).agg(
+    sums = checked.groupBy(*key).agg(
         F.count(F.lit(1)).alias("citations"), F.count_if(~F.col("valid")).alias("invalid")
     )
-    joined = answers.join(sums, key, "left")
+    joined = answers.join(sums, list(key), "left")
     n = F.coalesce("citations", F.lit(0))
     bad = F.coalesce("invalid", F.lit(0))
     return (

@@ -121,11 +121,11 @@ def _whole_listing(members: DataFrame, template: Template) -> DataFrame:
         members.groupBy("group", "label")
         .agg(
             F.count(F.lit(1)).alias("members"),
-            F.array_sort(F.collect_list(F.struct("name", "ordinal", "sub", "entity_id"))).alias("_m"),
+            F.sort_array(F.collect_list(F.struct("name", "ordinal", "sub", "entity_id"))).alias("_m"),
         )
         .where(F.col("members") >= template.minimum)
     )
-    by_arrival = F.array_sort(
+    by_arrival = F.sort_array(
         F.transform("_m", lambda m: F.struct(m["ordinal"], m["sub"], m["entity_id"].alias("entity_id")))
     )
     listed = by_arrival if template.arrival else F.col("_m")
@@ -193,7 +193,7 @@ def _parted_listing(members: DataFrame, template: Template, part_size: int) -> D
             )
         ).alias("p"),
     ).select("group", "label", "members", "parts", "p.*")
-    ordered = F.array_sort(F.collect_list(F.struct("side", "seq", "piece", "entity_id")))
+    ordered = F.sort_array(F.collect_list(F.struct("side", "seq", "piece", "entity_id")))
     texts = pieces.groupBy("group", "part", "label", "members", "parts").agg(ordered.alias("_p"))
     texts = texts.select(
         "group",
@@ -209,7 +209,7 @@ def _parted_listing(members: DataFrame, template: Template, part_size: int) -> D
     arrived = positions(members, ["group"], ["ordinal", "sub", "entity_id"])
     arrived = arrived.withColumn("part", F.floor((F.col("position") - 1) / part_size).cast("int"))
     lists = arrived.groupBy("group", "part").agg(
-        F.array_sort(F.collect_list(F.struct("position", "entity_id"))).alias("_r")
+        F.sort_array(F.collect_list(F.struct("position", "entity_id"))).alias("_r")
     )
     lists = lists.select("group", "part", F.transform("_r", lambda r: r["entity_id"]).alias("resources"))
     none = F.array().cast("array<string>")
@@ -255,7 +255,7 @@ def _first_rows(members: DataFrame, order: list[str], alias: str) -> DataFrame:
     return (
         ranked.where(F.col("_n") <= SAMPLE)
         .groupBy("group")
-        .agg(F.array_sort(F.collect_list(F.struct("_n", "name", "entity_id"))).alias(alias))
+        .agg(F.sort_array(F.collect_list(F.struct("_n", "name", "entity_id"))).alias(alias))
     )
 
 
@@ -364,7 +364,7 @@ def name_targets(resources: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.length(lower_id)), lambda k: F.substring(lower_id, F.lit(1), k)
     )
     prefixed = (
-        base.select("entity_id", "name", "ordinal", F.explode(prefixes).alias("key"))
+        base.select("entity_id", "name", "ordinal", F.explode_outer(prefixes).alias("key"))
         .groupBy("key")
         .agg(F.min_by(target, F.col("ordinal")).alias("target"))
         .select(F.lit("prefix").alias("kind"), "key", "target")

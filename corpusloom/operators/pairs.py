@@ -11,7 +11,9 @@ from ..schema import EXTRACTION_SOURCE
 
 
 def created_now() -> Column:
-    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    """ISO text of the query start in UTC, whatever the session time zone is."""
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
 def build_pair(

@@ -247,7 +247,7 @@ def judge_batches(
         numbered.groupBy(*key, "block")
         .agg(
             F.count(F.lit(1)).alias("pairs"),
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.struct(F.col(seq).alias("seq"), "id", "question", "answer"))
             ).alias("_p"),
         )

@@ -41,7 +41,7 @@ def run_summary(pairs: DataFrame) -> DataFrame:
     rows = counted.rollup("source_key").agg(
         F.grouping("source_key").alias("_total"),
         F.sum("n").alias("pairs"),
-        F.array_join(F.array_sort(F.collect_set("domain")), ", ").alias("domains"),
+        F.array_join(F.sort_array(F.collect_set("domain")), ", ").alias("domains"),
     )
     return rows.select(
         F.when(F.col("_total") == 1, F.lit("Total")).otherwise(F.col("source_key")).alias("source_key"),
@@ -81,7 +81,7 @@ def coverage(
         )
     # the sample has at most SAMPLE_IDS rows, so one task collects it
     ids_text = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("_at", "_id"))), lambda s: s["_id"]), ", "
+        F.transform(F.sort_array(F.collect_list(F.struct("_at", "_id"))), lambda s: s["_id"]), ", "
     )
     return sample.agg(ids_text.alias("sample_ids")).select(
         F.lit(source).alias("source"),
@@ -99,7 +99,7 @@ def coming_soon(name: str = "name", description: str = "description") -> Column:
 
 def page_estimate(first_page: DataFrame, pages: Column, source: str, id_column: str) -> DataFrame:
     """Coverage from one page: items on it times the number of pages. One page is bounded."""
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.collect_list(
             F.when(present(id_column), F.struct("ordinal", F.col(id_column).cast("string").alias("_id")))
         )

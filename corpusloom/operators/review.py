@@ -35,9 +35,14 @@ def to_records(pairs: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
     """Pairs to review records. ``vectors`` (id, vector) holds the question embeddings."""
     meta = F.col("metadata")
     shown = F.when(meta["has_citation"], F.lit("True")).otherwise(F.lit("False"))
+    # a long comparison answer comes in parts with one id; its records need ids of their own
+    own_id = F.col("id")
+    if "parts" in pairs.columns:
+        numbered = F.concat_ws("#", "id", F.col("part").cast("string"))
+        own_id = F.when(F.coalesce(F.col("parts"), F.lit(1)) > 1, numbered).otherwise(own_id)
     issues = F.array_join(F.coalesce(meta["eval_issues"], F.array().cast("array<string>")), "; ")
     records = pairs.select(
-        "id",
+        own_id.alias("id"),
         "source_ref",
         question_of().alias("question"),
         answer_of().alias("answer"),

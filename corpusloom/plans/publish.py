@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import citations, review
 from ..operators.pairs import answer_of, question_of
@@ -31,12 +32,28 @@ def validate(
     loaded: list[str],
     case_insensitive: tuple[str, ...] = (),
 ) -> Validation:
-    """Markers, verdict per answer and summary. The row key is ``id``."""
-    answers = pairs.select("id", question_of().alias("question"), answer_of().alias("answer"))
+    """Markers, verdict per answer and summary.
+
+    An id may occur more than once, so the key is the id and a hash of the texts. The parts of a
+    long comparison answer count as one answer: its markers are those of all parts.
+    """
+    parts = F.coalesce(F.col("parts"), F.lit(1)) if "parts" in pairs.columns else F.lit(1)
+    part = F.coalesce(F.col("part"), F.lit(0)) if "part" in pairs.columns else F.lit(0)
+    texts = pairs.select(
+        "id",
+        question_of().alias("question"),
+        answer_of().alias("answer"),
+        part.alias("_part"),
+        parts.alias("_parts"),
+    )
+    own = F.when(F.col("_parts") == 1, F.xxhash64("question", "answer")).otherwise(F.lit(0))
+    texts = texts.withColumn("text_key", own)
+    key = ["id", "text_key"]
     checked = citations.check(
-        citations.extract(answers), known, loaded, case_insensitive=case_insensitive
+        citations.extract(texts, key), known, loaded, key, case_insensitive=case_insensitive
     )
-    verdicts = citations.per_answer(answers, checked)
+    answers = texts.where("_part = 0").drop("_part", "_parts")
+    verdicts = citations.per_answer(answers, checked, key)
     return Validation(checked, verdicts, citations.summary(verdicts))
 
 

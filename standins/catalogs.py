@@ -18,7 +18,7 @@ STRIDE = landed.PAGE_STRIDE
 def pages_of(rows, page, order, item, body):
     """Item rows to landed pages: PAGE items each, so every page is bounded."""
     packed = rows.groupBy(page.alias("page")).agg(
-        F.array_sort(F.collect_list(F.struct(order.alias("_o"), item.alias("i")))).alias("_l")
+        F.sort_array(F.collect_list(F.struct(order.alias("_o"), item.alias("i")))).alias("_l")
     )
     items = F.transform("_l", lambda x: x["i"])
     return packed.select("page", body(items).alias("value"))
@@ -37,20 +37,29 @@ def cleaned(items, name, details=None, config=CONFIG):
 # ---- scans -------------------------------------------------------------------------------------------
 
 
+# the kind of a page goes by part type; LARGE parts are on pages whose text is no JSON
+PAGE_KIND = {"STANDARD": 1, "PROMO": 1, "ECONOMY": 1, "MEDIUM": 2, "SMALL": 3, "LARGE": 4}
+KIND_SQL = "CASE p_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PAGE_KIND.items()) + " END"
+ENVELOPE_PAGE = f"({KIND_SQL} * 100000000 + p_partkey // {PAGE})"
+
+
 @query(
     "scan_envelope",
-    f"""SELECT (p_partkey // {PAGE}) * {STRIDE} + row_number() OVER (PARTITION BY p_partkey // {PAGE} ORDER BY p_partkey) - 1
+    f"""SELECT {ENVELOPE_PAGE} * {STRIDE} + row_number() OVER (PARTITION BY {ENVELOPE_PAGE} ORDER BY p_partkey) - 1
           AS ordinal, p_partkey::varchar AS id, p_name AS name, p_brand AS organization
-        FROM part WHERE (p_partkey // {PAGE}) % 4 <> 3""",
+        FROM part WHERE p_type <> 'LARGE'""",
 )
 def scan_envelope(spark, sf):
-    """Pages in turn: tool-response envelope, plain object, other list key, envelope with text that is no JSON."""
+    """Tool-response envelope, plain object, other list key, envelope with text that is no JSON."""
     item = F.struct(
         text("p_partkey").alias("id"),
         F.col("p_name").alias("name"),
         F.array("p_brand").alias("organization_names"),
     )
-    page = F.floor(F.col("p_partkey") / PAGE)
+    kind = F.lit(None)
+    for name, number in PAGE_KIND.items():
+        kind = F.when(F.col("p_type") == name, F.lit(number)).otherwise(kind)
+    page = kind.cast("bigint") * 100_000_000 + F.floor(F.col("p_partkey") / PAGE)
 
     def body(items):
         plain = F.to_json(F.struct(items.alias("resources")))
@@ -61,11 +70,11 @@ def scan_envelope(spark, sf):
                 F.struct(F.array(F.struct(F.lit("text").alias("type"), inner.alias("text"))).alias("content"))
             )
 
-        kind = F.col("page") % 4
+        kind = F.floor(F.col("page") / 100_000_000)
         return (
-            F.when(kind == 0, envelope(plain))
-            .when(kind == 1, plain)
-            .when(kind == 2, envelope(other))
+            F.when(kind == 1, envelope(plain))
+            .when(kind == 2, plain)
+            .when(kind == 3, envelope(other))
             .otherwise(envelope(F.concat(F.lit("error: "), plain)))
         )
 

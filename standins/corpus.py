@@ -421,7 +421,7 @@ def judge_list_scores(spark, sf):
     answers = judge_answers(spark, sf)
     built = pairs.build_pair(F.col("id"), F.lit("Q"), F.lit("A"), F.lit("r"), F.lit("d"))
     rows = judge.apply_to_list(answers.withColumn("pairs", F.array(built)), "text")
-    return rows.select(F.explode("pairs").alias("p")).select(
+    return rows.select(F.explode_outer("pairs").alias("p")).select(
         "p.id",
         F.col("p.metadata.confidence_score").alias("confidence"),
         F.col("p.metadata.suggested_decision").alias("decision"),

@@ -181,6 +181,32 @@ def test_validate(spark):
     assert (none.total, none.valid_percent, none.ok) == (0, None, True)
 
 
+def test_validate_answers_in_parts_and_repeated_ids(spark):
+    known = spark.createDataFrame([("d", "1")], "domain string, entity_id string")
+    rows = [("long", "names only", 0, 2), ("long", "<<SRC:d:1>>", 1, 2), ("twice", "<<SRC:d:9>>", 0, 1), ("twice", "nothing", 0, 1)]
+    df = spark.createDataFrame(rows, "n string, a string, part int, parts int")
+    built = pairs.build_pair(F.col("n"), F.lit("Q"), F.col("a"), F.lit("r"), F.lit("d"))
+    made = df.select(built.alias("p"), "part", "parts").select("p.*", "part", "parts")
+    result = publish.validate(made, known, ["d"])
+    rows = sorted((r.id, r.citations, r.has_citations, r.all_valid) for r in result.verdicts.collect())
+    assert rows == [("long", 1, True, True), ("twice", 0, False, False), ("twice", 1, True, False)]
+    with pytest.raises(ValueError, match="1 of 3"):
+        result.require_valid()
+    ids = {r.id for r in review.to_records(made).collect()}
+    assert ids == {"long#0", "long#1", "twice"}
+
+
+def test_created_at_is_utc(spark):
+    from datetime import UTC, datetime, timedelta
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        made = datetime.fromisoformat(make_pairs(spark, 1).first().metadata.created_at)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert made.utcoffset() == timedelta(0) and abs(datetime.now(UTC) - made) < timedelta(minutes=5)
+
+
 def test_known_entities_of_missing_catalogs(spark):
     df = spark.createDataFrame([("1", None), ("", "x"), (None, None), ("1", "y")], "id string, resource_id string")
     known, loaded = citations.load_known({"compute-resources": df, "nsf-awards": None})
