@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..settings import PART_SIZE, stable
+from ..settings import PART_SIZE, written
 from .skew import lookup_join, positions
 
 # ---- fixed values: thresholds, word lists, text formats --------------------------------------
@@ -454,7 +454,7 @@ def gpu_software_members(links: DataFrame, resources: DataFrame) -> DataFrame:
     )
     kept = lookup_join(distinct, gpu.distinct(), ["entity_id"], ["group"], how="inner")
     # few rows after two joins and an aggregate; they are counted first and then listed
-    return stable(kept.withColumn("sub", F.lit(0)))
+    return written(kept.withColumn("sub", F.lit(0)))
 
 
 # ---- the comparisons -------------------------------------------------------------------------------

@@ -82,7 +82,10 @@ def attach_details(entities: DataFrame, details: DataFrame | None, spec: DomainS
         return entities
     if details is None:
         return entities.withColumn("detail", F.lit(None).cast(spec.detail_type))
-    return lookup_join(entities, details.select("entity_id", "detail"), ["entity_id"], ["ordinal"])
+    details = details.select("entity_id", "detail")
+    if spec.keep_first:
+        return entities.join(details, "entity_id", "left")
+    return lookup_join(entities, details, ["entity_id"], ["ordinal"])
 
 
 def cleaned(spec: DomainSpec, entities: DataFrame, config: ExtractionConfig) -> DataFrame:

@@ -19,14 +19,17 @@ def with_hash(entities: DataFrame, column: str = "entity") -> DataFrame:
     )
 
 
-def plan(entities: DataFrame, cache: DataFrame) -> DataFrame:
+def plan(entities: DataFrame, cache: DataFrame, unique: bool = False) -> DataFrame:
     """Current entities with ``hit`` (hash equal) and ``reuse`` (hit and pairs are there).
 
     ``cache`` has one row per (domain, entity_id); an entity id that repeats very often in the
-    current data is looked up in slices.
+    current data is looked up in slices. ``unique`` says that ids cannot repeat.
     """
     known = cache.select(*KEY, F.col("full_hash").alias("_known"), F.col("pairs").alias("cached_pairs"))
-    joined = lookup_join(entities, known, KEY, ["ordinal"])
+    if unique:
+        joined = entities.join(known, KEY, "left")
+    else:
+        joined = lookup_join(entities, known, KEY, ["ordinal"])
     hit = F.coalesce(F.col("full_hash") == F.col("_known"), F.lit(False))
     reuse = hit & (F.coalesce(F.size("cached_pairs"), F.lit(0)) > 0)
     return joined.withColumn("hit", hit).withColumn("reuse", reuse).drop("_known")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..settings import stable
+from ..settings import written
 
 # A key counts as hot above 1/HOT_SHARE of the rows looked at, so there are never more than
 # HOT_SHARE hot keys: the list of hot keys has a proven bound and may be broadcast.
@@ -84,7 +84,7 @@ def positions(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     laid-out rows are written once; the number of rows before a slice is a running sum over one
     small row per (group, slice). ``order`` must be unique within a group.
     """
-    laid = stable(
+    laid = written(
         df.repartitionByRange(*[F.col(c) for c in [*group, *order]])
         .sortWithinPartitions(*group, *order)
         .withColumn("_row", F.monotonically_increasing_id())

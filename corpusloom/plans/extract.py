@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import compare, domains, incremental, infer
 from ..operators import pairs as pairing
 from ..schema import PAIR_FIELDS
-from ..settings import ExtractionConfig, stable
+from ..settings import ExtractionConfig, written
 from ..sources import landed, tables
 
 
@@ -74,9 +74,12 @@ def extract_domain(
     """One catalog. ``items`` has ``ordinal`` and the item's fields, ``details`` ``entity_id, detail``."""
     config = config or ExtractionConfig()
     picked = domains.attach_details(domains.pick(spec, items, config), details, spec)
-    rows = incremental.with_hash(domains.cleaned(spec, picked, config))
+    # read by the plan, the replay, the generation and the records: parse and clean only once
+    rows = written(incremental.with_hash(domains.cleaned(spec, picked, config)))
     spark = items.sparkSession
-    planned = incremental.plan(rows, tables.empty_cache(spark) if cache is None else cache)
+    planned = incremental.plan(
+        rows, tables.empty_cache(spark) if cache is None else cache, spec.keep_first
+    )
 
     todo = incremental.to_generate(planned).select(
         "domain",
@@ -95,11 +98,11 @@ def extract_domain(
     both = kept.select("ordinal", "sub", *PAIR_FIELDS).unionByName(
         fresh.select("ordinal", "sub", *PAIR_FIELDS)
     )
-    written = made.select(
+    entries = made.select(
         "domain", "entity_id", "ordinal", F.col("source_hash").alias("hash"), "full_hash", "pairs"
     )
     # the comparisons read the records many times: keep them, not the scan and the cleaning
-    return DomainRun(both, stable(domains.records(rows)), written, planned)
+    return DomainRun(both, written(domains.records(rows)), entries, planned)
 
 
 def run(
@@ -112,7 +115,7 @@ def run(
     cache: DataFrame | None = None,
     tasks: int | None = None,
 ) -> Run:
-    """All given catalogs, then the comparisons over their records. Nothing is written here, so a
+    """All given catalogs, then the comparisons over their records. No results are written here, so a
     dry run is this call alone. An unregistered catalog is skipped."""
     config = config or ExtractionConfig()
     out = Run(cache=cache if cache is not None else tables.empty_cache(spark))

@@ -144,9 +144,11 @@ def test_pair_layout(spark):
     assert row.metadata.granularity == "comparison"
 
 
-@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
-def test_parts_join_to_the_whole_answer(spark, size):
-    """A hot group of a third of the rows among small ones, written whole and in parts."""
+@pytest.mark.parametrize("size, keys", [(1, 10), (2, 10_000), (3, 0), (7, 0), (100, 10_000)])
+def test_parts_join_to_the_whole_answer(spark, monkeypatch, size, keys):
+    """A hot group of a third of the rows among small ones, written whole and in parts; also with
+    more oversize groups than may be broadcast."""
+    monkeypatch.setattr(compare, "OVERSIZE_KEYS", keys)
     rows = spark.range(90).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 25)).alias("group"),
         F.concat(F.lit("n"), F.col("id") % 11).alias("name"),
