@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # ---- fixed values: patterns, markers and word lists ----------------------------------------
 TAG = "<[^>]+>"
 SPACE = r"[\s\x1c-\x1f]"  # with (?U): the Unicode white space set including the ASCII separators
-INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
+INTEGER = r"(?U)^[\s\x1c-\x1f]*[+-]?[0-9]+(_[0-9]+)*[\s\x1c-\x1f]*$"
 SLUG_WIDTH = 30
 GPU_MODEL = r"(?U)(A100|V100|H100|A40|A30|A10|RTX\s*\d+)"
 GPU_VENDOR = "NVIDIA "
@@ -45,13 +45,15 @@ def truncate(c: Column, width: int) -> Column:
 
 def format_currency(c: Column) -> Column:
     """Integer text of any length to ``$1,234,567``; other text stays as it is; NULL gives ''."""
-    bare = F.regexp_replace(strip(c), "_", "")
-    negative = bare.startswith("-")
-    digits = F.regexp_replace(F.regexp_replace(bare, "^[+-]", ""), "^0+(?=[0-9])", "")
-    grouped = F.regexp_replace(digits, "(?<=[0-9])(?=([0-9]{3})+$)", ",")
-    sign = F.when(negative & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.ltrim(F.regexp_replace(c, "[^0-9]+", ""), F.lit("0"))
+    zero = digits == ""
+    # up to 18 digits fit a number; longer ones are grouped as text
+    short = F.format_number(F.when(F.length(digits) <= 18, digits).try_cast("bigint"), 0)
+    long = F.regexp_replace(digits, "(?<=[0-9])(?=([0-9]{3})+$)", ",")
+    grouped = F.when(zero, "0").when(F.length(digits) <= 18, short).otherwise(long)
+    sign = F.when(c.contains("-") & ~zero, "-").otherwise("")
     money = F.concat(F.lit("$"), sign, grouped)
-    return F.coalesce(F.when(strip(c).rlike(INTEGER), money).otherwise(c), F.lit(""))
+    return F.coalesce(F.when(c.rlike(INTEGER), money).otherwise(c), F.lit(""))
 
 
 def title_case(c: Column) -> Column:
