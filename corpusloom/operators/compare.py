@@ -452,7 +452,8 @@ def gpu_software_members(links: DataFrame, resources: DataFrame) -> DataFrame:
     gpu = resources.where(F.coalesce("has_gpu", F.lit(False))).select(
         F.col("entity_id").cast("string").alias("entity_id")
     )
-    kept = lookup_join(distinct, gpu.distinct(), ["entity_id"], ["group"], how="inner")
+    # an id occurs at most once per listed software here, so it cannot be a hot key
+    kept = distinct.join(gpu.distinct(), "entity_id", "left_semi")
     # few rows after two joins and an aggregate; they are counted first and then listed
     return written(kept.withColumn("sub", F.lit(0)))
 
