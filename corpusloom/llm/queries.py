@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import mixing, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,3 +51,16 @@ def budget_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixed(docs.select("doc_id", "lang", "source"), leaves, MIX_SEED).select(
         F.col("doc.doc_id").alias("doc_id"), *mixing.LEVELS, "epoch"
     )
+
+
+@query("op3_toxic_segments")
+def toxic_segments(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    return toxicity.passages(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "passages",
+    )
