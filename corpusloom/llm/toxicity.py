@@ -3,11 +3,13 @@
 Training counts, for every word and for its first 5 and 7 bytes, the toxic and the clean labelled
 documents that contain it. A word's log-odds come from Dirichlet smoothing along that chain: the share
 of toxic documents among those with the word is pulled towards the share for its prefixes, and that
-towards the base rate. Log-odds minus a constant drift are the scores of the words of a text; a linear
-scan finds every maximal-scoring segment. Segment scores S of a text of n words are put together as
-x = ln sum exp(lambda S) - ln n. Lambda is the Karlin-Altschul root for the word scores of clean texts,
-K the maximum-likelihood rate of the extreme-value law P(X > x) = 1 - exp(-K exp(-x)) over clean texts,
-and a logistic function of the law's -ln p, fitted on the labels, is the score.
+towards the base rate. Log-odds minus a constant drift are the scores of the words of a text (the k-th
+occurrence of a word brings a k-th of its log-odds, as occurrences in one text are not independent); a
+linear scan finds every maximal-scoring segment. Lambda is the Karlin-Altschul root for the word scores
+of clean texts, K the maximum-likelihood rate of the extreme-value law P(S > s) = 1 - exp(-K n exp(-lambda s))
+for the best segment of a clean text of n words. Several segments are put together by the sum statistic
+of their normalised scores lambda S - ln(K n). A logistic function of the resulting -ln p, fitted on the
+labels, is the score.
 
 The counts go through a count-min sketch of fixed size, so what the tasks get has a proven bound
 (16 bytes a bin), whatever the vocabulary. Everything is counted over all labelled rows.
@@ -124,7 +126,6 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def sketch(rows: DataFrame, bins: int = BINS) -> Sketch:
     """Count-min sketch of the document counts of all features."""
-    spark = rows.sparkSession
     counts = (
         rows.mapInArrow(_count, "feature long, toxic long, clean long")
         .groupBy("feature")
@@ -155,7 +156,6 @@ def sketch(rows: DataFrame, bins: int = BINS) -> Sketch:
     for r in packed.collect():  # 2 * bins / CHUNK rows of 32 KiB
         whole[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.body, np.int32).reshape(-1, 2)
     by = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    del spark
     return Sketch(whole.reshape(2, bins, 2), by.get(0, 0), sum(v for k, v in by.items() if k))
 
 
@@ -195,19 +195,28 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, r - l) for s, e, l, r, _ in found]
 
 
-def _evidence(segments: list[tuple[int, int, float]], n: int, rate: float) -> float:
-    """x of a text: ln sum exp(rate * S) - ln n; a text without segments has the score 0 once."""
-    top = max((s for _, _, s in segments), default=0.0)
-    total = sum(math.exp(rate * (s - top)) for _, _, s in segments) or 1.0
-    return rate * top + math.log(total) - math.log(max(n, 1))
+def surprise(segments: list[float], n: int, rate: float, k: float) -> float:
+    """-ln of the chance that a clean text of n words has segments so good, 0 to 50.
 
-
-def _surprise(x: float, k: float) -> float:
-    """-ln of the chance that a clean text has an x so large."""
-    rate = k * math.exp(-x) if x > -700 else math.inf
-    if rate < 1e-9:
-        return min(x - math.log(k), 700.0) if k > 0 else 700.0
-    return -math.log(-math.expm1(-rate)) if rate < 700 else 0.0
+    One segment: the extreme-value law. The r best together, T the sum of their normalised scores:
+    exp(-T) T^(r-1) / (r! (r-1)!), times 2^r for having tried every r.
+    """
+    if not n:
+        return 0.0
+    level = math.log(k * n)
+    scores = sorted((rate * s - level for s in segments), reverse=True)
+    x = scores[0] if scores else -level
+    chance = math.exp(min(-x, 700.0))
+    best = x if chance < 1e-9 else -math.log(-math.expm1(-chance)) if chance < 40 else 0.0
+    total = 0.0
+    for r, value in enumerate(scores, 1):
+        if value <= 0:
+            break
+        total += value
+        if r > 1:
+            sums = total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r) - r * math.log(2)
+            best = max(best, sums)
+    return min(max(best, 0.0), 50.0)
 
 
 def _scan(data: np.ndarray, at: np.ndarray, model: Sketch, own: np.ndarray | None = None):
@@ -221,6 +230,16 @@ def _scan(data: np.ndarray, at: np.ndarray, model: Sketch, own: np.ndarray | Non
         if own is not None:
             each = np.repeat(own[low:high], np.diff(first))
         scores = word_scores(chain, model, each)
+        up = np.flatnonzero(scores > 0)
+        if len(up):
+            row = np.searchsorted(first, up, "right")
+            word = chain[-1][up]
+            order = np.lexsort((up, word, row))
+            new = np.ones(len(up), bool)
+            new[1:] = (row[order][1:] != row[order][:-1]) | (word[order][1:] != word[order][:-1])
+            place = np.arange(len(up))
+            nth = place - np.maximum.accumulate(np.where(new, place, 0)) + 1
+            scores[up[order]] = (scores[up[order]] + DRIFT) / nth - DRIFT
         for k in range(high - low):
             a, b = first[k], first[k + 1]
             yield low + k, starts[a:b] - edges[k], ends[a:b] - edges[k], scores[a:b]
@@ -269,18 +288,22 @@ def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> Model:
     histogram = looked.where("step is not null").groupBy("step").agg(F.sum("n").alias("n")).collect()  # <= 480 rows
     rate = karlin_root({LOW + (r.step + 0.5) * STEP: r.n for r in histogram})
 
-    # ln sum exp(rate S) without overflow: largest first
+    seen = looked.where("toxic is not null and n > 0")
     top = F.coalesce(F.array_max("segments"), F.lit(0.0))
-    spread = F.aggregate("segments", F.lit(0.0), lambda a, s: a + F.exp(rate * (s - top)))
-    x = rate * top + F.log(F.greatest(spread, F.lit(1.0))) - F.log(F.greatest(F.col("n"), F.lit(1)))
-    seen = written(looked.where("toxic is not null").select("toxic", "n", x.alias("x")))
-    k = seen.where("toxic = 0").agg((F.count(F.lit(1)) / F.sum(F.exp(-F.col("x")))).alias("k")).first().k
+    k = seen.where("toxic = 0").agg((F.count(F.lit(1)) / F.sum(F.col("n") * F.exp(-rate * top))).alias("k")).first().k
     k = float(k) if k else 1.0
-    rounded = F.round(F.col("x"), 1)
-    points = seen.where("n > 0").groupBy(rounded.alias("x"), "toxic").agg(F.count(F.lit(1)).alias("n"))
-    # x lies between -ln n and rate * HIGH * n; far above, all is equally sure, so the points are bounded
-    points = points.groupBy(F.least(F.greatest("x", F.lit(-30.0)), F.lit(100.0)).alias("x"), "toxic").agg(F.sum("n").alias("n"))
-    pairs = [(min(_surprise(r.x, k), 50.0), r.toxic, r.n) for r in points.collect()]
+
+    def weigh(batches):
+        for batch in batches:
+            rows = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+            yield pa.record_batch(
+                [batch.column(0), pa.array([round(surprise(s, n, rate, k), 1) for n, s in rows], pa.float64())],
+                names=["toxic", "z"],
+            )
+
+    weighed = seen.select("toxic", "n", "segments").mapInArrow(weigh, "toxic int, z double")
+    points = weighed.groupBy("z", "toxic").agg(F.count(F.lit(1)).alias("n"))  # <= 501 values of z
+    pairs = [(r.z, r.toxic, r.n) for r in points.collect()]
     slope, offset = logistic(pairs)
     return Model(counts, rate, k, slope, offset)
 
@@ -351,7 +374,7 @@ def judge(data: np.ndarray, at: np.ndarray, model: Model) -> tuple[list[float],
     for row, starts, ends, each in _scan(data, at, model.sketch):
         segments = maximal_segments(each)
         n = len(starts)
-        z = min(_surprise(_evidence(segments, n, model.rate), model.k), 50.0) if n else 0.0
+        z = surprise([value for _, _, value in segments], n, model.rate, model.k)
         q = model.slope * z + model.offset
         scores.append(1 / (1 + math.exp(-q)) if q > -700 else 0.0)
         kept = []
