@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, toxicity
+from . import jaccard, mixing, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,3 +64,9 @@ def toxic_segments(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "passages",
     )
+
+
+@query("op5_ngram_join")
+def ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    join = jaccard.NgramJoin(table(spark, sf, "documents"), size=3, num=9, den=10)
+    return join.members().select("doc_id", F.col("n").alias("n_shingles"), "component_id")
