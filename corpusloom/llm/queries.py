@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, sharding, toxicity
+from . import jaccard, mixing, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,3 +70,11 @@ def toxic_segments(spark: SparkSession, sf: str) -> DataFrame:
 def ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     join = jaccard.NgramJoin(table(spark, sf, "documents"), size=3, num=9, den=10)
     return join.members().select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+@query("op8_robust_outliers")
+def robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    rows = quality.outliers(quality.measured(table(spark, sf, "documents")))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
