@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, quality, sharding, toxicity
+from . import decontaminate, jaccard, mixing, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,3 +78,8 @@ def robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
     )
+
+
+@query("op9_cgk_decontamination")
+def cgk_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
