@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, quality, sharding, toxicity
+from . import decontaminate, jaccard, mixing, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,3 +83,8 @@ def robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_cgk_decontamination")
 def cgk_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op7_secret_layers")
+def secret_layers(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf, "documents")).drop("found")
