@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, quality, secrets, sharding, toxicity
+from . import decontaminate, jaccard, mixing, pii, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,3 +88,9 @@ def cgk_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_secret_layers")
 def secret_layers(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scanned(table(spark, sf, "documents")).drop("found")
+
+
+@query("op2_weak_pii")
+def weak_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return pii.scanned(docs, pii.fit(docs)).drop("found")
