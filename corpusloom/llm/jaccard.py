@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import lookup_join
@@ -28,8 +28,11 @@ from .components import components
 
 BINS = 1 << 20
 CHUNK = 1 << 12
-#: Hash classes of the suffix filter.
-SUFFIX = 16
+#: Hash classes of the suffix filter; each is counted in a byte (saturated: the bound stays a lower one).
+SUFFIX = 8
+#: From this count of its bin on, the posting list of an n-gram is laid out in slices.
+HOT = 1 << 15
+SLICES = 1024
 #: Lists up to this size give all their pairs (so at most LIST/2 pairs a member).
 LIST = 64
 HUBS = 4
@@ -133,14 +136,19 @@ class NgramJoin:
         return order
 
     def postings(self) -> DataFrame:
-        """Prefix n-grams that two or more classes have: token, c, n, pos, tail (suffix counts), m (list size)."""
+        """Prefix n-grams that two or more classes have: token, c, n, pos, tail (suffix counts), m (list size).
+
+        One shuffle brings a token's entries together and drops lone ones. Tokens whose bin count
+        says that their list may be long are spread over slices instead and kept in any case.
+        """
         size, num, den = self.size, self.num, self.den
         order = self.docs.sparkSession.sparkContext.broadcast(self._order)
 
         def emit(batches):
             seen = set()
+            shifts = np.arange(SUFFIX, dtype=np.uint64) * np.uint64(8)
             for batch in batches:
-                token, cs, ns, pos, tail = [], [], [], [], []
+                token, cs, ns, pos, tail, cut = [], [], [], [], [], []
                 for _, grams in _sets(batch.column(0), size):
                     c = _class(grams)
                     if c in seen:
@@ -159,23 +167,30 @@ class NgramJoin:
                     cs.append(np.full(probe, c, np.int64))
                     ns.append(np.full(probe, n, np.int32))
                     pos.append(np.arange(probe, dtype=np.int32))
-                    tail.append(np.tile(np.bincount((grams >> np.uint64(60)).astype(np.int64), minlength=SUFFIX).astype(np.int32), (probe, 1)))
+                    counts = np.bincount((grams >> np.uint64(61)).astype(np.int64), minlength=SUFFIX)
+                    packed = (np.minimum(counts, 255).astype(np.uint64) << shifts).sum(dtype=np.uint64)
+                    tail.append(np.full(probe, packed, np.uint64))
+                    cut.append(np.where(rank[near] >= HOT, 1 + (c % SLICES), 0).astype(np.int32))
                 if token:
                     yield pa.record_batch(
                         [
                             pa.array(np.concatenate(token).view(np.int64)),
+                            pa.array(np.concatenate(cut)),
                             pa.array(np.concatenate(cs)),
                             pa.array(np.concatenate(ns)),
                             pa.array(np.concatenate(pos)),
-                            pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(tail).reshape(-1)), SUFFIX).cast(pa.list_(pa.int32())),
+                            pa.array(np.concatenate(tail).view(np.int64)),
                         ],
-                        names=["token", "c", "n", "pos", "tail"],
+                        names=["token", "cut", "c", "n", "pos", "tail"],
                     )
 
-        entries = self.docs.select("text").mapInArrow(emit, "token long, c long, n int, pos int, tail array<int>")
-        entries = written(entries)
-        sizes = entries.groupBy("token").agg(F.count_distinct("c").alias("m")).where("m > 1")
-        return written(entries.join(sizes, "token").dropDuplicates(["token", "c"]))
+        entries = self.docs.select("text").mapInArrow(emit, "token long, cut int, c long, n int, pos int, tail long")
+        here = Window.partitionBy("token", "cut")
+        shared = entries.withColumn("low", F.min("c").over(here)).withColumn("high", F.max("c").over(here))
+        shared = shared.where("low < high or cut > 0").groupBy("token", "cut", "c")
+        shared = written(shared.agg(*[F.min(x).alias(x) for x in ("n", "pos", "tail")]))
+        sizes = shared.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+        return written(shared.join(sizes, "token").drop("cut"))
 
     def _passes(self, x: str, y: str) -> Column:
         """All filters for a pair of posting entries of one token."""
@@ -186,7 +201,8 @@ class NgramJoin:
         index = lambda n: n - F.ceil(n * (2 * num) / (num + den) - F.lit(1e-9)) + 1
         first = F.when(nx < ny, px < index(nx)).when(ny < nx, py < index(ny)).otherwise(F.least(px, py) < index(nx))
         behind = 1 + F.least(nx - px - 1, ny - py - 1)
-        apart = F.aggregate(F.zip_with(f"{x}.tail", f"{y}.tail", lambda a, b: F.abs(a - b)), F.lit(0), lambda s, v: s + v)
+        byte = lambda side, k: F.shiftrightunsigned(F.col(f"{side}.tail"), 8 * k).bitwiseAND(F.lit(255))
+        apart = sum((F.abs(byte(x, k) - byte(y, k)) for k in range(SUFFIX)), F.lit(0))
         return (
             (short * den >= long * num)
             & first
@@ -210,12 +226,12 @@ class NgramJoin:
         if wanted.count() <= BROADCAST_IDS:
             wanted = F.broadcast(wanted)
         docs = self.docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("w")), "left_semi")
-        sets = docs.select("text").mapInArrow(emit, "c long, grams array<bigint>")
-        return written(sets.join(ids, "c", "left_semi").dropDuplicates(["c"]))
+        return written(docs.select("text").mapInArrow(emit, "c long, grams array<bigint>"))
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def _verified(self, pairs: DataFrame) -> DataFrame:
         """The candidate pairs (u, v, any multiplicity) that are similar, with ``shared`` and both sizes."""
-        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        pairs = written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        sets = self._grams(pairs.select(F.col("u").alias("c")).unionAll(pairs.select("v")).distinct())
         a = sets.select(F.col("c").alias("u"), F.col("grams").alias("a"))
         b = sets.select(F.col("c").alias("v"), F.col("grams").alias("b"))
         both = pairs.join(a, "u").join(b, "v").select(
@@ -229,7 +245,6 @@ class NgramJoin:
         """Verified links between classes (u, v): all links of short lists, and of long lists enough to
         connect whatever any links would connect."""
         lists = self.postings()
-        sets = self._grams(lists.select("c").distinct())
         x, y = lists.alias("x"), lists.alias("y")
         pair = [F.col("x.c").alias("u"), F.col("y.c").alias("v")]
         short = x.where(f"m <= {LIST}").join(
@@ -251,12 +266,12 @@ class NgramJoin:
                 hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & self._passes("x", "y")
             )
             candidates = candidates.unionAll(star.select(*pair))
-        links = written(self._verified(candidates, sets).select("u", "v"))
+        links = written(self._verified(candidates).select("u", "v"))
         if some:
-            links = links.unionAll(self._rest(long, links, sets))
+            links = links.unionAll(self._rest(long, links))
         return links
 
-    def _rest(self, long: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    def _rest(self, long: DataFrame, links: DataFrame) -> DataFrame:
         """Links of long lists between components that are still apart: members outside a list's
         largest component against all members of other components."""
         roots = components(links)
@@ -272,7 +287,7 @@ class NgramJoin:
             y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & self._passes("x", "y")
         )
         pairs = rest.select(F.col("x.c").alias("u"), F.col("y.c").alias("v"))
-        return written(self._verified(pairs, sets).select("u", "v"))
+        return written(self._verified(pairs).select("u", "v"))
 
     def members(self) -> DataFrame:
         """``doc_id``, ``tie``, ``n`` and ``component_id`` of every document row.

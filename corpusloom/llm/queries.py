@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, pii, quality, secrets, sharding, toxicity
+from . import decontaminate, jaccard, mixing, pii, quality, secrets, sharding, tokenstore, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +94,12 @@ def secret_layers(spark: SparkSession, sf: str) -> DataFrame:
 def weak_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return pii.scanned(docs, pii.fit(docs)).drop("found")
+
+
+@query("op1_token_index")
+def token_index(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf, "documents")
+    store = tokenstore.write(docs, tokenstore.new_folder(spark), public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenstore.digests(tokenstore.keys_of(docs.select("doc_id")), store)
