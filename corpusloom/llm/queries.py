@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, pii, quality, secrets, sharding, tokenstore, toxicity
+from . import decontaminate, jaccard, mixing, pii, quality, secrets, sharding, substrings, tokenstore, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,3 +103,8 @@ def token_index(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     store = tokenstore.write(docs, tokenstore.new_folder(spark), public_tokenizers.path("byte_bpe_50k.json"))
     return tokenstore.digests(tokenstore.keys_of(docs.select("doc_id")), store)
+
+
+@query("op10_suffix_groups")
+def suffix_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf, "documents")).drop("kept", "spans")

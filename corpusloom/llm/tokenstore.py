@@ -48,7 +48,7 @@ RECORD = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("start", "<u8"), ("n", "<
 
 # White space of the pre-tokenizer. No token spans the place between a character that is not
 # white space and one that is, so texts can be encoded piece by piece, cut there.
-_WS = " \t\n\r\f\v\x85\xa0  -     　"
+_WS = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PIECES = re.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 
 
