@@ -199,8 +199,10 @@ class _Solver:
                         first, key, r, position = self.owner[w]
                         found.append((key[0], position + x - first, r))
                     found.sort(key=lambda f: f[:2])
-                    for (key, position, r) in found[1:]:
-                        self.removed.append((r["doc_id"], r["place"], position, position + length))
+                    for key, position, r in found[1:]:
+                        # surroundings of neighbouring grams overlap: the same window may be here twice
+                        if (key, position) != found[0][:2]:
+                            self.removed.append((r["doc_id"], r["place"], position, position + length))
                 run = [i]
         out = self.removed
         self.symbols, self.owner, self.removed = [], [], []
