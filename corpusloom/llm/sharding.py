@@ -97,7 +97,7 @@ def permuted(x: Column, n: int, seed: int) -> Column:
     return F.aggregate(once, near, lambda z, _: z, lambda z: walk(z, outside))
 
 
-def shuffled(df: DataFrame, order: list[str], shards: int, seed: int = 0) -> DataFrame:
+def shuffled(df: DataFrame, order: list[Column], shards: int, seed: int = 0) -> DataFrame:
     """All rows with ``row_number`` (0-based rank by ``order``), ``shard`` and ``slot``.
 
     Shard sizes differ by one at most, slots are gapless from 0 in every shard, and
@@ -110,7 +110,7 @@ def shuffled(df: DataFrame, order: list[str], shards: int, seed: int = 0) -> Dat
     # own names while the rows are laid out: any column of the input may be called like ours
     inner = df.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"),
-        *[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order)],
+        *[c.alias(f"o{i}") for i, c in enumerate(order)],
     )
     placed = positions(inner, [], [f"o{i}" for i in range(len(order))])
     n = placed.select("members").limit(1).collect()
@@ -140,7 +140,7 @@ def document_shards(docs: DataFrame, shards: int = 24, seed: int = 0) -> DataFra
         F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         F.xxhash64("text").alias("tie"),
     )
-    return shuffled(narrow, ["doc_id", "tie"], shards, seed).select(
+    return shuffled(narrow, [F.col("doc_id"), F.col("tie")], shards, seed).select(
         "doc_id",
         (F.col("bytes") + 8).alias("size"),
         "text_crc32",
