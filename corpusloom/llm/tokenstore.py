@@ -154,12 +154,16 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0) -> S
 
 def _repeats_across(placed: DataFrame) -> DataFrame:
     """``repeat`` of every row: only ids at the edge of a payload file can go on in the next one."""
-    edges = placed.groupBy("shard").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    ids = edges.select(F.col("low").alias("doc_id")).union(edges.select("high")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    shared = placed.join(ids.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id", "shard").agg(F.count(F.lit(1)).alias("m"))
+    end = lambda pick: pick(F.struct("doc_id"), "at")
+    edges = placed.groupBy("shard").agg(F.array(end(F.min_by), end(F.max_by)).alias("ends"))
+    ids = edges.select("shard", F.explode("ends").alias("e")).select("shard", F.col("e.doc_id").alias("id_")).distinct()
+    ids = ids.groupBy("id_").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    shared = placed.join(ids, F.col("doc_id").eqNullSafe(F.col("id_")), "left_semi").groupBy("doc_id", "shard").agg(F.count(F.lit(1)).alias("m"))
     order = Window.partitionBy("doc_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shared = shared.withColumn("earlier", F.coalesce(F.sum("m").over(order), F.lit(0))).where("earlier > 0").select("doc_id", "shard", "earlier")
-    return placed.join(shared, ["doc_id", "shard"], "left").withColumn("repeat", F.col("again") + F.coalesce("earlier", F.lit(0)))
+    shared = shared.withColumn("earlier", F.coalesce(F.sum("m").over(order), F.lit(0))).where("earlier > 0")
+    shared = shared.select(F.col("doc_id").alias("id_"), F.col("shard").alias("shard_"), "earlier")
+    same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("shard") == F.col("shard_"))
+    return placed.join(shared, same, "left").withColumn("repeat", F.col("again") + F.coalesce("earlier", F.lit(0)))
 
 
 def _bits(h1: np.ndarray, h2: np.ndarray, level: int, size: int | np.ndarray) -> np.ndarray:
