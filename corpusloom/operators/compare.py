@@ -6,9 +6,9 @@ the value inside the entity; together they give arrival order within a group. ``
 text shown for the group and depends on the group alone, so both can be grouped on (a text as an
 aggregate would force a sort before the partial aggregate).
 
-Two shapes of answer exist. *Listings* name every member; a group of more than ``part_size``
-members is written as ordered parts, whose ``answer`` texts and ``resources`` lists joined in part
-order are exactly the whole ones. *Samples* give the count and the first five names.
+Two shapes of answer exist, one pair per group at every size. *Listings* name every member; the text
+of a large group is put together from chunks of ranked members, so that only the finished answer is in
+one row. *Samples* give the count and the first five names.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..settings import PART_SIZE, written
+from ..settings import written
 from .skew import lookup_join, positions
 
 # ---- fixed values: thresholds, word lists, text formats --------------------------------------
@@ -42,8 +42,11 @@ COMPARISON_REF = "mcp://comparison/"
 # -----------------------------------------------------------------------------------------------
 
 MEMBER = ["group", "label", "name", "ordinal", "sub", "entity_id"]
-# above this many oversize groups their keys are not broadcast; all rows take the ranked path
-OVERSIZE_KEYS = 10_000
+# Members that one task puts into text at a time. Groups above it are ranked and rendered in chunks; the
+# pairs are the same either way.
+CHUNK = 10_000
+# a group's answer and its list must fit a cell; beyond, the member rows (``member_rows``) have everything
+LONGEST_ANSWER = 2_000_000_000
 
 
 @dataclass(frozen=True)
@@ -93,14 +96,12 @@ def _software_marker(template: Template) -> Column:
 
 
 def _finish(rows: DataFrame, template: Template) -> DataFrame:
-    """Common columns of a comparison pair; expects group, label, members, part, parts, answer, resources."""
+    """Common columns of a comparison pair; expects group, label, members, answer, resources."""
     asked = F.lower("label") if template.lower_label else F.col("label")
     pair_id = F.concat(F.lit(f"{template.id_prefix}_"), tx.slugify(F.col("group")))
     software = F.col("group") if template.software else F.lit(None).cast("string")
     return rows.select(
         pair_id.alias("id"),
-        "part",
-        "parts",
         F.col("group"),
         "members",
         fill(template.question, asked, F.col("members")).alias("question"),
@@ -116,7 +117,7 @@ def _finish(rows: DataFrame, template: Template) -> DataFrame:
 
 
 def _whole_listing(members: DataFrame, template: Template) -> DataFrame:
-    """Groups of at most ``part_size`` members: one bounded list per group."""
+    """Groups of at most CHUNK members: one bounded list per group."""
     grouped = (
         members.groupBy("group", "label")
         .agg(
@@ -141,109 +142,97 @@ def _whole_listing(members: DataFrame, template: Template) -> DataFrame:
         "group",
         "label",
         "members",
-        F.lit(0).alias("part"),
-        F.lit(1).alias("parts"),
         answer.alias("answer"),
         F.transform(listed, lambda m: m["entity_id"]).alias("resources"),
     )
 
 
-def _parted_listing(members: DataFrame, template: Template, part_size: int) -> DataFrame:
-    """Groups of any size: exact positions first, then one bounded list per (group, part).
-
-    The first half of the parts carries the names, the second half the markers. A group that fits
-    one part gives the same single row as the other path.
-    """
-    ranked = positions(members, ["group"], ["name", "ordinal", "sub", "entity_id"])
-    ranked = ranked.where(F.col("members") >= template.minimum)
-    pos, n = F.col("position"), F.col("members")
-    chunk = F.floor((pos - 1) / part_size).cast("int")
-    half = F.ceil(n / part_size).cast("int")
-    glue = (
+def _glue(pos: Column, n: Column) -> Column:
+    """What stands before the name at a position of the list."""
+    return (
         F.when(pos == 1, F.lit(" "))
         .when((pos == n) & (n == 2), F.lit(" and "))
         .when(pos == n, F.lit(", and "))
         .otherwise(F.lit(", "))
     )
-    opening = F.when(pos == 1, fill(template.lead, F.col("label"), n)).otherwise(F.lit(""))
-    closing = F.when(pos == n, fill(template.tail, F.col("label"), n)).otherwise(F.lit(""))
-    ending = F.when(pos == n, _software_marker(template)).otherwise(F.lit(""))
-    single = half == 1
-    pieces = ranked.select(
-        "group",
-        "label",
-        "members",
-        F.when(single, F.lit(1)).otherwise(half * 2).alias("parts"),
-        F.explode(
-            F.array(
-                F.struct(
-                    chunk.alias("part"),
-                    F.lit(0).alias("side"),
-                    pos.alias("seq"),
-                    F.concat(opening, glue, F.col("name"), closing).alias("piece"),
-                    F.col("entity_id").alias("entity_id"),
-                ),
-                F.struct(
-                    F.when(single, F.lit(0)).otherwise(half + chunk).alias("part"),
-                    F.lit(1).alias("side"),
-                    pos.alias("seq"),
-                    F.concat(_marker(template, F.col("entity_id")), ending).alias("piece"),
-                    F.lit(None).cast("string").alias("entity_id"),
-                ),
-            )
-        ).alias("p"),
-    ).select("group", "label", "members", "parts", "p.*")
-    ordered = F.sort_array(F.collect_list(F.struct("side", "seq", "piece", "entity_id")))
-    texts = pieces.groupBy("group", "part", "label", "members", "parts").agg(ordered.alias("_p"))
-    texts = texts.select(
-        "group",
-        "label",
-        "members",
-        "part",
-        "parts",
-        F.array_join(F.transform("_p", lambda p: p["piece"]), "").alias("answer"),
-        F.filter(F.transform("_p", lambda p: p["entity_id"]), lambda e: e.isNotNull()).alias("resources"),
+
+
+def member_rows(members: DataFrame, template: Template) -> DataFrame:
+    """The members of every pair, one row each, without any limit on a group's size: pair id, place by
+    name, place by arrival, name, entity and marker."""
+    keys = ["group", "name", "ordinal", "sub", "entity_id"]
+    by_name = positions(members.select(*MEMBER), ["group"], ["name", "ordinal", "sub", "entity_id"])
+    by_name = by_name.where(F.col("members") >= template.minimum).withColumnRenamed("position", "by_name")
+    by_arrival = positions(by_name.drop("members"), ["group"], ["ordinal", "sub", "entity_id", "by_name"])
+    return by_arrival.select(
+        F.concat(F.lit(f"{template.id_prefix}_"), tx.slugify(F.col("group"))).alias("id"),
+        *keys[:1],
+        "by_name",
+        F.col("position").alias("by_arrival"),
+        "name",
+        "entity_id",
+        _marker(template, F.col("entity_id")).alias("marker"),
     )
-    if not template.arrival:
-        return texts
-    arrived = positions(members, ["group"], ["ordinal", "sub", "entity_id"])
-    arrived = arrived.withColumn("part", F.floor((F.col("position") - 1) / part_size).cast("int"))
-    lists = arrived.groupBy("group", "part").agg(
-        F.sort_array(F.collect_list(F.struct("position", "entity_id"))).alias("_r")
+
+
+def _large_listing(members: DataFrame, template: Template, chunk: int) -> DataFrame:
+    """Groups of any size: exact positions first, then one text per (group, chunk) and kind of text,
+    and at last the few chunks of a group in order."""
+    ranked = positions(members, ["group"], ["name", "ordinal", "sub", "entity_id"])
+    ranked = written(ranked.where(F.col("members") >= template.minimum))
+    pos, n = F.col("position"), F.col("members")
+    at = F.floor((pos - 1) / chunk).alias("chunk")
+    named = F.struct(pos, F.concat(_glue(pos, n), "name").alias("piece"), _marker(template, F.col("entity_id")).alias("marker"))
+    texts = ranked.groupBy("group", "label", "members", at).agg(F.sort_array(F.collect_list(named)).alias("_p"))
+    texts = texts.select(
+        "group", "label", "members", "chunk",
+        F.array_join("_p.piece", "").alias("names"), F.array_join("_p.marker", "").alias("markers"),
+    )
+    whole = texts.groupBy("group", "label", "members").agg(
+        F.sum(F.octet_length("names").cast("bigint") + F.octet_length("markers")).alias("_bytes"),
+        F.sort_array(F.collect_list(F.struct("chunk", "names", "markers"))).alias("_c"),
     )
-    lists = lists.select("group", "part", F.transform("_r", lambda r: r["entity_id"]).alias("resources"))
-    none = F.array().cast("array<string>")
-    return (
-        texts.drop("resources")
-        .join(lists, ["group", "part"], "left")
-        .withColumn("resources", F.coalesce("resources", none))
+    fits = F.when(
+        F.col("_bytes") > LONGEST_ANSWER,
+        F.raise_error(F.concat(F.lit("answer too long for one row, see member_rows: "), "group")).cast("string"),
+    ).otherwise(F.lit(""))
+    answer = F.concat(
+        fits,
+        fill(template.lead, F.col("label"), n),
+        F.array_join("_c.names", ""),
+        fill(template.tail, F.col("label"), n),
+        F.array_join("_c.markers", ""),
+        _software_marker(template),
     )
+    whole = whole.select("group", "label", "members", answer.alias("answer"))
+    if template.arrival:
+        ranked = positions(ranked.select(*MEMBER), ["group"], ["ordinal", "sub", "entity_id", "name"])
+    lists = ranked.groupBy("group", at).agg(F.sort_array(F.collect_list(F.struct(pos, "entity_id"))).alias("_r"))
+    lists = lists.select("group", "chunk", F.col("_r.entity_id").alias("ids"))
+    lists = lists.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("_l"))
+    return whole.join(lists.select("group", F.flatten("_l.ids").alias("resources")), "group")
 
 
 def listing(
     members: DataFrame,
     template: Template,
-    part_size: int = PART_SIZE,
+    chunk: int = CHUNK,
     keys: DataFrame | None = None,
 ) -> DataFrame:
     """One pair per group that names all members.
 
     Group sizes are counted first (combined before the shuffle), on ``keys`` when the caller has a
-    cheaper frame with one ``group`` per member. Groups above ``part_size`` are ranked and written
-    in parts; the usual small groups need a single hash aggregate.
+    cheaper frame with one ``group`` per member. The sizes only decide how a group's text is put
+    together: the usual small groups need a single aggregate.
     """
     members = members.select(*MEMBER)
     sizes = (members if keys is None else keys).groupBy("group").agg(F.count(F.lit(1)).alias("_n"))
-    oversize = sizes.where(F.col("_n") > part_size).select("group")
-    found = oversize.limit(OVERSIZE_KEYS + 1).count()
-    if found == 0:
+    large = written(sizes.where(F.col("_n") > chunk).select("group"))
+    if large.isEmpty():
         rows = _whole_listing(members, template)
-    elif found > OVERSIZE_KEYS:
-        rows = _parted_listing(members, template, part_size)
     else:
-        oversize = F.broadcast(oversize)
-        rows = _whole_listing(members.join(oversize, "group", "left_anti"), template).unionByName(
-            _parted_listing(members.join(oversize, "group", "left_semi"), template, part_size)
+        rows = _whole_listing(members.join(large, "group", "left_anti"), template).unionByName(
+            _large_listing(members.join(large, "group", "left_semi"), template, chunk)
         )
     return _finish(rows, template)
 
@@ -282,8 +271,6 @@ def sampled(members: DataFrame, template: Template) -> DataFrame:
         "group",
         "label",
         "members",
-        F.lit(0).alias("part"),
-        F.lit(1).alias("parts"),
         answer.alias("answer"),
         F.transform("_first", lambda m: m["entity_id"]).alias("resources"),
     )
@@ -435,11 +422,11 @@ def software_members(links: DataFrame, resources: DataFrame) -> DataFrame:
 
 
 def software_listing(
-    links: DataFrame, resources: DataFrame, template: Template, part_size: int = PART_SIZE
+    links: DataFrame, resources: DataFrame, template: Template, chunk: int = CHUNK
 ) -> DataFrame:
     """Availability per software. Every link gives one member, so the links have the group sizes."""
     keys = links.select(F.col("software").alias("group"))
-    return listing(software_members(links, resources), template, part_size, keys)
+    return listing(software_members(links, resources), template, chunk, keys)
 
 
 def gpu_software_members(links: DataFrame, resources: DataFrame) -> DataFrame:
@@ -542,23 +529,23 @@ def generate(
     awards: DataFrame | None = None,
     groups: DataFrame | None = None,
     program: str = "catalog",
-    part_size: int = PART_SIZE,
+    chunk: int = CHUNK,
 ) -> DataFrame | None:
     """All comparisons over the records of the given domains; a domain left out is skipped."""
     t = templates(program)
     out = []
     if resources is not None:
-        out.append(listing(gpu_members(resources), t["gpu"], part_size))
-        out.append(listing(feature_members(resources), t["feature"], part_size))
-        out.append(listing(by_element(resources, "organizations"), t["organization"], part_size))
+        out.append(listing(gpu_members(resources), t["gpu"], chunk))
+        out.append(listing(feature_members(resources), t["feature"], chunk))
+        out.append(listing(by_element(resources, "organizations"), t["organization"], chunk))
     if software is not None:
         if resources is None:
             empty = "entity_id string, name string, ordinal bigint, has_gpu boolean"
             resources = software.sparkSession.createDataFrame([], empty)
         links = installed(software)
         several = installed(software.where(F.size("resources") >= SMALL_MINIMUM))
-        out.append(software_listing(several, resources, t["software"], part_size))
-        out.append(listing(gpu_software_members(links, resources), t["gpu_software"], part_size))
+        out.append(software_listing(several, resources, t["software"], chunk))
+        out.append(listing(gpu_software_members(links, resources), t["gpu_software"], chunk))
     if projects is not None:
         out.append(sampled(by_field(projects, "fos"), t["project_field"]))
         out.append(sampled(by_field(projects, "institution"), t["project_institution"]))
@@ -567,7 +554,7 @@ def generate(
         out.append(sampled(by_field(awards, "fund_program_name"), t["award_program"]))
         out.append(sampled(by_field(awards, "institution"), t["award_institution"]))
     if groups is not None:
-        out.append(listing(by_field(groups, "category"), t["group_category"], part_size))
+        out.append(listing(by_field(groups, "category"), t["group_category"], chunk))
     if not out:
         return None
     result = out[0]
@@ -579,8 +566,7 @@ def generate(
 def duplicate_ids(comparisons: DataFrame) -> DataFrame:
     """Pair ids that several groups share because the slug is cut; they also share a source_ref."""
     return (
-        comparisons.where("part = 0")
-        .groupBy("id")
+        comparisons.groupBy("id")
         .agg(F.count(F.lit(1)).alias("groups"))
         .where("groups > 1")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.structured import indent_json
-from ..schema import RESPONSES
+from ..schema import RESPONSES, VECTOR_WIDTH
 from .pairs import answer_of, created_now, question_of
 from .skew import lookup_join
 
@@ -31,18 +31,13 @@ def source_preview(source_data: Column) -> Column:
     return F.when(there, fenced).otherwise(F.lit(""))
 
 
-def to_records(pairs: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
-    """Pairs to review records. ``vectors`` (id, vector) holds the question embeddings."""
+def to_records(pairs: DataFrame, vectors: DataFrame | None = None, width: int = VECTOR_WIDTH) -> DataFrame:
+    """Pairs to review records. ``vectors`` (id, vector) holds the question embeddings, all ``width`` wide."""
     meta = F.col("metadata")
     shown = F.when(meta["has_citation"], F.lit("True")).otherwise(F.lit("False"))
-    # a long comparison answer comes in parts with one id; its records need ids of their own
-    own_id = F.col("id")
-    if "parts" in pairs.columns:
-        numbered = F.concat_ws("#", "id", F.col("part").cast("string"))
-        own_id = F.when(F.coalesce(F.col("parts"), F.lit(1)) > 1, numbered).otherwise(own_id)
     issues = F.array_join(F.coalesce(meta["eval_issues"], F.array().cast("array<string>")), "; ")
     records = pairs.select(
-        own_id.alias("id"),
+        "id",
         "source_ref",
         question_of().alias("question"),
         answer_of().alias("answer"),
@@ -65,7 +60,11 @@ def to_records(pairs: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
     if vectors is None:
         records = records.withColumn("vector", F.lit(None).cast("array<float>"))
     else:
-        records = records.join(vectors.select("id", "vector"), "id", "left")
+        wide = F.size("vector") == width
+        checked = F.when(
+            F.col("vector").isNull() | wide, F.col("vector")
+        ).otherwise(F.raise_error(F.concat(F.lit(f"vector is not {width} wide: "), F.col("id"))).cast("array<float>"))
+        records = records.join(vectors.select("id", checked.alias("vector")), "id", "left")
     return records.withColumn("responses", F.array().cast(RESPONSES))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import citations, review
 from ..operators.pairs import answer_of, question_of
-from ..settings import stable
+from ..settings import stable, written
 from ..sources import tables
 
 
@@ -34,26 +34,17 @@ def validate(
 ) -> Validation:
     """Markers, verdict per answer and summary.
 
-    An id may occur more than once, so the key is the id and a hash of the texts. The parts of a
-    long comparison answer count as one answer: its markers are those of all parts.
+    An id may occur more than once, also with equal texts, so the key is the id, a hash of the texts
+    and a number that tells equal pairs apart. The texts are written once, since markers and verdicts
+    both read them.
     """
-    parts = F.coalesce(F.col("parts"), F.lit(1)) if "parts" in pairs.columns else F.lit(1)
-    part = F.coalesce(F.col("part"), F.lit(0)) if "part" in pairs.columns else F.lit(0)
-    texts = pairs.select(
-        "id",
-        question_of().alias("question"),
-        answer_of().alias("answer"),
-        part.alias("_part"),
-        parts.alias("_parts"),
-    )
-    own = F.when(F.col("_parts") == 1, F.xxhash64("question", "answer")).otherwise(F.lit(0))
-    texts = texts.withColumn("text_key", own)
-    key = ["id", "text_key"]
-    checked = citations.check(
-        citations.extract(texts, key), known, loaded, key, case_insensitive=case_insensitive
-    )
-    answers = texts.where("_part = 0").drop("_part", "_parts")
-    verdicts = citations.per_answer(answers, checked, key)
+    texts = pairs.select("id", question_of().alias("question"), answer_of().alias("answer"))
+    texts = texts.withColumn("text_key", F.xxhash64("question", "answer"))
+    texts = written(texts.withColumn("copy", F.monotonically_increasing_id()))
+    key = ["id", "text_key", "copy"]
+    found = written(citations.extract(texts, key))
+    checked = citations.check(found, known, loaded, key, case_insensitive=case_insensitive)
+    verdicts = citations.per_answer(texts, checked, key)
     return Validation(checked, verdicts, citations.summary(verdicts))
 
 
@@ -91,5 +82,5 @@ def push_snapshots(
 def push_file(
     spark: SparkSession, live: DataFrame, path: str, live_root: str, archive_path: str
 ) -> str:
-    pairs = tables.load_pairs(spark, path).drop("part", "parts")
+    pairs = tables.load_pairs(spark, path)
     return push_snapshots(spark, live, pairs, live_root, archive_path)

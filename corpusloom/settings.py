@@ -10,10 +10,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A text cell never carries more than this many group members or list entries;
-# bigger groups are written as several ordered parts (see operators/compare.py).
-PART_SIZE = 10_000
-
 
 @dataclass(frozen=True)
 class ExtractionConfig:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,16 +16,10 @@ COMBINED_FILE = "combined_qa_pairs.jsonl"
 
 
 def pair_line(pairs: DataFrame) -> Column:
-    """One JSON line per pair: NULL fields written, ``source_data`` as an object. Rows that are one
-    part of a longer answer also carry ``part`` and ``parts``."""
+    """One JSON line per pair: NULL fields written, ``source_data`` as an object."""
     meta = F.col("metadata").withField("source_data", F.try_parse_json("metadata.source_data"))
     fields = [F.col(c) for c in PAIR_FIELDS if c != "metadata"] + [meta.alias("metadata")]
-    options = {"ignoreNullFields": "false"}
-    line = F.to_json(F.struct(*fields), options)
-    if "parts" not in pairs.columns:
-        return line
-    parted = F.to_json(F.struct(*fields, "part", "parts"), options)
-    return F.when(F.coalesce(F.col("parts"), F.lit(1)) > 1, parted).otherwise(line)
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def write_pairs(pairs: DataFrame, path: str) -> str:
@@ -59,7 +53,7 @@ def union_sources(by_source: dict[str, DataFrame]) -> DataFrame:
 
 def load_pairs(spark: SparkSession, path: str) -> DataFrame:
     """Pair files, one or many; blank lines are skipped, a bad line or value fails the job."""
-    rows = spark.read.schema(f"{PAIR}, part int, parts int").option("mode", "FAILFAST").json(path)
+    rows = spark.read.schema(PAIR).option("mode", "FAILFAST").json(path)
     return assert_valid(rows)
 
 
@@ -67,15 +61,24 @@ def empty_cache(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CACHE)
 
 
-def load_cache(spark: SparkSession, path: str | None) -> DataFrame:
-    """Cache snapshot, or an empty one when it is absent or not readable as one."""
+def load_cache(spark: SparkSession, path: str | None, on_corrupt: str = "raise") -> DataFrame:
+    """Cache snapshot, or an empty one when the path is absent. Other errors, such as a storage or
+    permission error, are raised: taking them for an empty cache would drop every kept entry. With
+    ``on_corrupt='empty'`` a path that is there but not readable as a snapshot is empty, too."""
     if path is None:
         return empty_cache(spark)
+    columns = ["domain", "entity_id", "hash", "full_hash", "pairs"]
     try:
-        snapshot = spark.read.parquet(path)
-        return snapshot.select("domain", "entity_id", "hash", "full_hash", "pairs")
+        return spark.read.parquet(path).select(*columns)
+    except AnalysisException as error:
+        absent = error.getCondition() == "PATH_NOT_FOUND"
+        if absent or on_corrupt == "empty":
+            return empty_cache(spark)
+        raise
     except (PySparkException, Py4JJavaError):
-        return empty_cache(spark)
+        if on_corrupt == "empty":
+            return empty_cache(spark)
+        raise
 
 
 def write_snapshot(df: DataFrame, root: str) -> str:

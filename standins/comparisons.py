@@ -11,14 +11,12 @@ from .base import query, quote, slug_sql, table, text
 
 PROGRAM = "catalog"
 T = compare.templates(PROGRAM)
-SMALL_PART = 50
+SMALL_CHUNK = 7
 
 
 def flat(df: DataFrame) -> DataFrame:
     return df.select(
         "id",
-        F.col("part").cast("bigint").alias("part"),
-        F.col("parts").cast("bigint").alias("parts"),
         F.col("group").alias("group_value"),
         "members",
         "question",
@@ -47,7 +45,7 @@ def _columns(t: compare.Template) -> str:
     label = "lower(label)" if t.lower_label else "label"
     pid = f"'{t.id_prefix}_' || {slug_sql('grp')}"
     return f"""
-      {pid} AS id, part, parts, grp AS group_value, n AS members,
+      {pid} AS id, grp AS group_value, n AS members,
       {_text_sql(t.question, label)} AS question, answer,
       'mcp://comparison/' || {pid} AS source_ref, '{t.domain}' AS domain,
       'moderate' AS complexity, 'comparison' AS granularity, true AS has_citation,
@@ -67,7 +65,7 @@ def listing_sql(members: str, t: compare.Template) -> str:
         string_agg(entity_id, '|' ORDER BY {by_arrival}) AS resources
       FROM m GROUP BY grp HAVING count(*) >= {t.minimum}),
     r AS (
-      SELECT *, 0::bigint AS part, 1::bigint AS parts,
+      SELECT *,
         {_text_sql(t.lead)} || ' ' ||
         CASE WHEN n = 2 THEN names[1] || ' and ' || names[2]
              ELSE array_to_string(names[1:n-1], ', ') || ', and ' || names[n] END
@@ -76,36 +74,6 @@ def listing_sql(members: str, t: compare.Template) -> str:
     SELECT {_columns(t)} FROM r"""
 
 
-def parted_sql(members: str, t: compare.Template, size: int) -> str:
-    """Listing with every group cut into parts of ``size`` members (groups that fit stay whole)."""
-    by_name = "name, ordinal, sub, entity_id"
-    by_arrival = "ordinal, sub, entity_id" if t.arrival else by_name
-    return f"""
-    WITH m AS ({members}),
-    p AS (
-      SELECT *, row_number() OVER (PARTITION BY grp ORDER BY {by_name}) AS pos,
-        row_number() OVER (PARTITION BY grp ORDER BY {by_arrival}) AS arr,
-        count(*) OVER (PARTITION BY grp) AS n FROM m),
-    q AS (SELECT *, CASE WHEN n <= {size} THEN 1 ELSE 2 * ((n + {size} - 1) // {size}) END AS parts,
-        (n + {size} - 1) // {size} AS half FROM p WHERE n >= {t.minimum}),
-    pieces AS (
-      SELECT grp, label, n, parts, (pos - 1) // {size} AS part, 0 AS side, pos,
-        CASE WHEN pos = 1 THEN {_text_sql(t.lead)} || ' ' WHEN pos = n AND n = 2 THEN ' and '
-             WHEN pos = n THEN ', and ' ELSE ', ' END || name
-        || CASE WHEN pos = n THEN {_text_sql(t.tail)} ELSE '' END AS piece FROM q
-      UNION ALL
-      SELECT grp, label, n, parts, CASE WHEN parts = 1 THEN 0 ELSE half + (pos - 1) // {size} END, 1, pos,
-        chr(10) || chr(10) || '<<SRC:{t.cited_domain}:' || entity_id || '>>' FROM q),
-    texts AS (
-      SELECT grp, part, max(label) AS label, max(n) AS n, max(parts) AS parts,
-        string_agg(piece, '' ORDER BY side, pos) AS answer FROM pieces GROUP BY grp, part),
-    lists AS (
-      SELECT grp, (arr - 1) // {size} AS part, string_agg(entity_id, '|' ORDER BY arr) AS ids
-      FROM q GROUP BY 1, 2),
-    r AS (SELECT texts.*, coalesce(ids, '') AS resources FROM texts LEFT JOIN lists USING (grp, part))
-    SELECT {_columns(t)} FROM r"""
-
-
 def sampled_sql(members: str, t: compare.Template) -> str:
     return f"""
     WITH m AS ({members}),
@@ -120,7 +88,7 @@ def sampled_sql(members: str, t: compare.Template) -> str:
         string_agg(entity_id, '|' ORDER BY arr) FILTER (arr <= 5) AS resources
       FROM p GROUP BY grp HAVING count(*) >= {t.minimum}),
     r AS (
-      SELECT *, 0::bigint AS part, 1::bigint AS parts,
+      SELECT *,
         {_text_sql(t.lead)} || CASE WHEN n > 5 THEN ', including ' ELSE ': ' END ||
         CASE len(names) WHEN 1 THEN names[1] WHEN 2 THEN names[1] || ' and ' || names[2]
              ELSE array_to_string(names[1:len(names)-1], ', ') || ', and ' || names[len(names)] END
@@ -430,14 +398,33 @@ def cmp_group_category(spark, sf):
     return flat(compare.listing(members, T["group_category"]))
 
 
+@query("cmp_group_category_chunks", listing_sql(members_sql(GROUPS_SQL, "category"), T["group_category"]))
+def cmp_group_category_chunks(spark, sf):
+    """The same pairs with the way of large groups, whose text is put together from chunks."""
+    members = compare.by_field(groups(spark, sf), "category")
+    return flat(compare.listing(members, T["group_category"], chunk=SMALL_CHUNK))
+
+
+@query("cmp_org_chunks", listing_sql(members_sql(RESOURCES_SQL, "organization"), T["organization"]))
+def cmp_org_chunks(spark, sf):
+    """Chunks with the resources in arrival order."""
+    members = compare.by_element(resources(spark, sf), "organizations")
+    return flat(compare.listing(members, T["organization"], chunk=3))
+
+
 @query(
-    "cmp_group_category_parts",
-    parted_sql(members_sql(GROUPS_SQL, "category"), T["group_category"], SMALL_PART),
+    "cmp_member_rows",
+    f"""
+    WITH m AS ({members_sql(GROUPS_SQL, "category")}),
+    p AS (SELECT *, count(*) OVER (PARTITION BY grp) AS n,
+        row_number() OVER (PARTITION BY grp ORDER BY name, ordinal, sub, entity_id) AS by_name,
+        row_number() OVER (PARTITION BY grp ORDER BY ordinal, sub, entity_id) AS by_arrival FROM m)
+    SELECT '{T["group_category"].id_prefix}_' || {slug_sql('grp')} AS id, grp AS "group", by_name, by_arrival, name, entity_id,
+      chr(10) || chr(10) || '<<SRC:{T["group_category"].cited_domain}:' || entity_id || '>>' AS marker
+    FROM p WHERE n >= {T["group_category"].minimum}""",
 )
-def cmp_group_category_parts(spark, sf):
-    """The same comparison with the way of oversize groups, which are written in ordered parts."""
-    members = compare.by_field(groups(spark, sf), "category")
-    return flat(compare.listing(members, T["group_category"], part_size=SMALL_PART))
+def cmp_member_rows(spark, sf):
+    return compare.member_rows(compare.by_field(groups(spark, sf), "category"), T["group_category"])
 
 
 GENERIC = compare.Template(

@@ -109,7 +109,7 @@ def test_texts(pairs):
     assert category.resources == ["2", "1", "3"]
     for row in pairs.values():
         assert row.granularity == "comparison" and row.complexity == "moderate" and row.has_citation
-        assert row.source_ref == f"mcp://comparison/{row.id}" and (row.part, row.parts) == (0, 1)
+        assert row.source_ref == f"mcp://comparison/{row.id}"
 
 
 def test_large_groups_show_count_and_sample(spark):
@@ -144,11 +144,10 @@ def test_pair_layout(spark):
     assert row.metadata.granularity == "comparison"
 
 
-@pytest.mark.parametrize("size, keys", [(1, 10), (2, 10_000), (3, 0), (7, 0), (100, 10_000)])
-def test_parts_join_to_the_whole_answer(spark, monkeypatch, size, keys):
-    """A hot group of a third of the rows among small ones, written whole and in parts; also with
-    more oversize groups than may be broadcast."""
-    monkeypatch.setattr(compare, "OVERSIZE_KEYS", keys)
+@pytest.mark.parametrize("name", ["software", "group_category", "organization"])
+@pytest.mark.parametrize("chunk", [1, 2, 7, 100])
+def test_chunks_give_the_same_pairs(spark, name, chunk):
+    """A hot group of a third of the rows among small ones, rendered whole and from chunks."""
     rows = spark.range(90).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 25)).alias("group"),
         F.concat(F.lit("n"), F.col("id") % 11).alias("name"),
@@ -156,18 +155,9 @@ def test_parts_join_to_the_whole_answer(spark, monkeypatch, size, keys):
         F.lit(0).alias("sub"),
         F.concat(F.lit("e"), F.col("id")).alias("entity_id"),
     ).withColumn("label", F.col("group"))
-    template = compare.templates("x")["software"]
-    whole = {r.id: r for r in compare.listing(rows, template).collect()}
-    parts = {}
-    for r in compare.listing(rows, template, part_size=size).collect():
-        parts.setdefault(r.id, []).append(r)
-    assert set(parts) == set(whole)
-    for pid, made in parts.items():
-        made.sort(key=lambda r: r.part)
-        assert [r.part for r in made] == list(range(made[0].parts))
-        assert "".join(r.answer for r in made) == whole[pid].answer
-        assert [x for r in made for x in r.resources] == whole[pid].resources
-        assert all(len(r.resources) <= size for r in made)
+    template = compare.templates("x")[name]
+    whole = sorted(map(str, compare.listing(rows, template).collect()))
+    assert whole and sorted(map(str, compare.listing(rows, template, chunk=chunk).collect())) == whole
 
 
 def brute_resolve(short, records):
