@@ -19,10 +19,12 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 @pytest.fixture(scope="module")
 def sql():
     duckdb = pytest.importorskip("duckdb")
-    connection = duckdb.connect()
-    for name in TABLES:
-        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
-    return connection
+    connections = {}
+    for folder in (FOLDER, LARGER):
+        connections[folder] = duckdb.connect()
+        for name in TABLES:
+            connections[folder].execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return connections
 
 
 def norm(value):
@@ -36,18 +38,29 @@ def rows_of(columns, rows):
     return sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+# queries of the optional parts are tested with those parts
+OWN = sorted(contract.QUERIES)
+# no nation has three suppliers in the smallest tables; these are compared at the next size
+LARGER = "/root/testdata/sf0.01"
+SPARSE = {"cmp_generic", "cmp_org", "cmp_org_chunks"}
+
+
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.QUERIES) == set(contract.ORACLE)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
-    assert contract.entry(spark).columns[0] == "id"
+    rows = contract.entry(spark)
+    assert rows.columns[0] == "id" and rows.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, sql, name):
-    df = contract.queries()[name](spark, FOLDER)
-    cursor = sql.execute(contract.oracle_sql()[name])
+    folder = LARGER if name in SPARSE else FOLDER
+    df = contract.queries()[name](spark, folder)
+    cursor = sql[folder].execute(contract.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(columns)
-    assert rows_of(df.columns, df.collect()) == rows_of(columns, cursor.fetchall())
+    expected = rows_of(columns, cursor.fetchall())
+    assert expected and rows_of(df.columns, df.collect()) == expected
