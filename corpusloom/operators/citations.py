@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -25,9 +25,16 @@ SHOWN = 10
 
 
 def known_ids(df: DataFrame, domain: str, fields: list[str] | None = None) -> DataFrame:
-    """Distinct non-empty ids of one catalog."""
+    """Distinct non-empty ids of one catalog: of its id fields, or where the frame has none of them (a
+    scan of this package, before its fields are normalised) of the catalog's own entity id."""
     names = [f for f in (fields or ID_FIELDS[domain]) if f in df.columns]
-    first = F.coalesce(*[F.nullif(F.col(n).cast("string"), F.lit("")) for n in names])
+    if names:
+        first = F.coalesce(*[F.nullif(F.col(n).cast("string"), F.lit("")) for n in names])
+    else:
+        from .domains import REGISTRY
+
+        df = REGISTRY[domain].prepare(df)
+        first = F.nullif(REGISTRY[domain].entity_id().cast("string"), F.lit(""))
     return (
         df.select(F.lit(domain).alias("domain"), first.alias("entity_id"))
         .where(F.col("entity_id").isNotNull())
@@ -46,9 +53,9 @@ def known_software(listed: DataFrame | None, per_resource: DataFrame | None = No
 
 
 def load_known(
-    catalogs: dict[str, DataFrame | None], on_missing: str = "empty"
-) -> tuple[DataFrame | None, list[str]]:
-    """Known entities of all catalogs and the list of loaded domains.
+    catalogs: dict[str, DataFrame | None], on_missing: str = "empty", spark: SparkSession | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Known entities of all catalogs (none at all: an empty frame) and the list of loaded domains.
 
     A catalog that could not be loaded (None) counts as loaded and empty, so its citations are
     invalid; with ``on_missing='skip'`` it counts as unknown and is not checked.
@@ -63,6 +70,9 @@ def load_known(
     known = None
     for frame in frames:
         known = frame if known is None else known.unionByName(frame)
+    if known is None:
+        spark = spark or SparkSession.active()
+        known = spark.createDataFrame([], "domain string, entity_id string")
     return known, loaded
 
 

@@ -236,15 +236,17 @@ SOFTWARE_TYPE = (
 
 def software_resources(listed: Column) -> Column:
     """Resource names from a VARIANT: objects give resource_id, else name; other values their text.
-    A value that is no list gives an empty one."""
+    An object whose resource_id is there but null names nothing. A value that is no list gives an
+    empty one."""
     elements = F.when(
         F.schema_of_variant(listed).startswith("ARRAY"), listed.try_cast("array<variant>")
     )
 
     def one(e: Column) -> Column:
         is_object = F.schema_of_variant(e).startswith("OBJECT")
-        named = F.coalesce(
-            F.try_variant_get(e, "$.resource_id", "string"), F.try_variant_get(e, "$.name", "string")
+        has_id = F.coalesce(F.map_contains_key(e.try_cast("map<string,variant>"), "resource_id"), F.lit(False))
+        named = F.when(has_id, F.try_variant_get(e, "$.resource_id", "string")).otherwise(
+            F.try_variant_get(e, "$.name", "string")
         )
         return F.when(is_object, named).otherwise(F.try_variant_get(e, "$", "string"))
 

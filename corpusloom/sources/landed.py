@@ -2,24 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import positions
+
 ENVELOPE = "content array<struct<type:string,text:string>>"
 # arrival position = page number * PAGE_STRIDE + position on the page
 PAGE_STRIDE = 1 << 32
 
 
+def natural(path: Column) -> Column:
+    """Sort key of a path in which numbers count as numbers, however long they are."""
+    wide = F.regexp_replace(path, r"(\d+)", "0" * 40 + "$1")
+    return F.regexp_replace(wide, r"\d*(\d{40})", "$1")
+
+
+def numbered(pages: DataFrame) -> DataFrame:
+    """``pages`` (path, value) with ``page``: the rank of its path, in natural order."""
+    ranks = pages.select("path").distinct()
+    ranks = ranks.withColumn("page", F.row_number().over(Window.orderBy(natural(F.col("path")), "path")).cast("bigint"))
+    return pages.join(ranks, "path")
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed files as ``page, key, value``: the last number and the stem of the file name, the text."""
-    name = F.col("_metadata.file_name")
-    return spark.read.text(path, wholetext=True).select(
-        F.coalesce(
-            F.regexp_extract(name, r"(\d+)[^\d]*$", 1).try_cast("bigint"), F.lit(1)
-        ).alias("page"),
-        F.regexp_replace(name, r"\.[^.]*$", "").alias("key"),
+    """Landed files as ``page, key, value``: rank of the file in natural path order, stem of the file
+    name, the text. Paths are distinct, so pages never tie, whatever the files are called."""
+    listed = spark.read.format("binaryFile").load(path).select("path")
+    order = Window.orderBy(natural(F.col("path")), "path")  # one small row per file
+    ranks = listed.select("path", F.row_number().over(order).cast("bigint").alias("page"))
+    texts = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("key"),
         "value",
     )
+    # the two readers write a local path with one or three slashes
+    plain = lambda c: F.regexp_replace(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+    texts = texts.withColumn("path", plain(F.col("path")))
+    return texts.join(ranks.withColumn("path", plain(F.col("path"))), "path").select("page", "key", "value")
+
+
+def read_lines(spark: SparkSession, path: str, page: int = 1) -> DataFrame:
+    """JSON-lines files (one item per line), which Spark can split, as items of one page: ``ordinal`` is
+    the rank of (file, line offset) as far as Spark's row order inside a file goes."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    rows = rows.where(F.trim("value") != "").select(natural(F.col("path")).alias("file"), "block", "at", "value")
+    ranked = positions(rows, [], ["file", "block", "at"])
+    return ranked.select((F.lit(page * PAGE_STRIDE) + F.col("position") - 1).alias("ordinal"), "value")
 
 
 def unwrap(pages: DataFrame) -> DataFrame:
@@ -46,8 +75,10 @@ def explode_items(pages: DataFrame, item_type: str, keys: tuple[str, ...]) -> Da
     The first present list among ``keys`` counts; a dotted key looks one level down. The outer
     explode is on purpose: the plain one would add a test of the list and parse the page twice.
     """
-    parsed = unwrap(pages).withColumn("_b", F.from_json("body", body_type(item_type, keys)))
-    listed = F.coalesce(*[F.col(f"_b.{key}") for key in keys])
+    bare = F.ltrim("body").startswith("[")  # a body may also be the list itself
+    parsed = unwrap(pages).withColumn("_b", F.from_json(F.when(~bare, F.col("body")), body_type(item_type, keys)))
+    parsed = parsed.withColumn("_l", F.from_json(F.when(bare, F.col("body")), f"array<{item_type}>"))
+    listed = F.coalesce(*[F.col(f"_b.{key}") for key in keys], F.col("_l"))
     items = parsed.select("page", F.posexplode_outer(listed).alias("pos", "item"))
     return items.where("pos IS NOT NULL").select(
         (F.col("page") * F.lit(PAGE_STRIDE) + F.col("pos")).alias("ordinal"), "item.*"

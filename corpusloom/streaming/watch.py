@@ -13,11 +13,9 @@ from ..sources import landed, tables
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages as a stream of ``page, value``."""
+    """Landed pages as a stream of ``path, value``; they are numbered within each micro-batch."""
     rows = spark.readStream.format("text").option("wholetext", "true").load(path)
-    name = F.col("_metadata.file_name")
-    page = F.coalesce(F.regexp_extract(name, r"(\d+)[^\d]*$", 1).try_cast("bigint"), F.lit(1))
-    return rows.select(page.alias("page"), "value")
+    return rows.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def watch(
@@ -38,7 +36,7 @@ def watch(
 
     def one_batch(pages: DataFrame, batch: int) -> None:
         cache = tables.load_cache(spark, f"{out}/cache/{batch - 1}" if batch else None)
-        items = landed.explode_items(pages, spec.item_type, spec.list_keys)
+        items = landed.explode_items(landed.numbered(pages), spec.item_type, spec.list_keys)
         result = extract_domain(spec, items, backend, config, judge=judge, cache=cache)
         result.pairs.write.mode("overwrite").parquet(f"{out}/pairs/{batch}")
         merged = incremental.upsert(cache, result.written)

@@ -7,7 +7,7 @@ from corpusloom.functions.structured import short_hash
 from corpusloom.operators import citations, incremental, pairs, review
 from corpusloom.plans import publish
 from corpusloom.plans.extract import scan_catalog, scan_catalog_details
-from corpusloom.sources import tables
+from corpusloom.sources import landed, tables
 
 
 def envelope(text):
@@ -70,7 +70,7 @@ def test_pair_file_round_trip(spark, tmp_path):
     made = make_pairs(spark)
     path = tables.write_pairs(made, str(tmp_path / "x.jsonl"))
     back = tables.load_pairs(spark, path)
-    assert sorted(map(str, back.drop("part", "parts").collect()))[0].startswith("Row(id='p0'")
+    assert sorted(map(str, back.collect()))[0].startswith("Row(id='p0'")
     first = back.orderBy("id").first()
     assert first.messages[0].content == "Q é 0" and json.loads(first.metadata.source_data) == {"a": {"b": [1, "x"]}}
     line = json.loads(spark.read.text(path).first().value)
@@ -109,12 +109,41 @@ def test_blank_lines_are_skipped(spark, tmp_path):
     assert tables.load_pairs(spark, str(tmp_path / "x.jsonl")).count() == 1
 
 
-def test_absent_or_bad_cache_is_empty(spark, tmp_path):
+def test_only_an_absent_cache_is_empty(spark, tmp_path):
     assert tables.load_cache(spark, None).count() == 0
     assert tables.load_cache(spark, str(tmp_path / "nowhere")).count() == 0
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "x.parquet").write_text("{oops")
-    assert tables.load_cache(spark, str(tmp_path / "bad")).count() == 0
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        tables.load_cache(spark, str(tmp_path / "bad"))
+    assert tables.load_cache(spark, str(tmp_path / "bad"), on_corrupt="empty").count() == 0
+
+
+def test_pages_never_tie_or_overflow(spark, tmp_path):
+    names = ["a.json", "b.json", "page-1-of-2.json", "page-2-of-2.json", "page-10-of-2.json", f"awards-{'9' * 30}.json"]
+    for i, name in enumerate(names):
+        land(tmp_path, name, [{"id": str(i), "name": f"n{i}"}])
+    pages = landed.read_pages(spark, str(tmp_path)).orderBy("page").collect()
+    assert [r.page for r in pages] == list(range(1, 7))
+    assert [r.key for r in pages] == [n[:-5] for n in ["a.json", names[5], "b.json", *names[2:5]]]
+    # bare lists are bodies, too
+    items = landed.scan_items(spark, str(tmp_path), "struct<id:string,name:string>", ("items",)).collect()
+    assert sorted(r.id for r in items) == list("012345") and len({r.ordinal for r in items}) == 6
+
+
+def test_lines_keep_their_order(spark, tmp_path):
+    (tmp_path / "x2.jsonl").write_text("\n".join(json.dumps({"id": i}) for i in range(5)) + "\n\n")
+    (tmp_path / "x10.jsonl").write_text(json.dumps({"id": 9}))
+    rows = landed.read_lines(spark, str(tmp_path)).orderBy("ordinal").collect()
+    assert [json.loads(r.value)["id"] for r in rows] == [0, 1, 2, 3, 4, 9]
+
+
+def test_known_entities_of_scans(spark, tmp_path):
+    land(tmp_path, "p1.json", {"response": {"award": [{"id": "7", "title": "t"}, {"id": "8", "title": "u"}]}})
+    known, loaded = citations.load_known({"nsf-awards": scan_catalog(spark, "nsf-awards", str(tmp_path))})
+    assert {r.entity_id for r in known.collect()} == {"7", "8"} and loaded == ["nsf-awards"]
+    nothing, _ = citations.load_known({"nsf-awards": None})
+    assert nothing.count() == 0 and nothing.columns == ["domain", "entity_id"]
 
 
 # ---- cache --------------------------------------------------------------------------------------
@@ -181,19 +210,16 @@ def test_validate(spark):
     assert (none.total, none.valid_percent, none.ok) == (0, None, True)
 
 
-def test_validate_answers_in_parts_and_repeated_ids(spark):
+def test_validate_repeated_ids(spark):
     known = spark.createDataFrame([("d", "1")], "domain string, entity_id string")
-    rows = [("long", "names only", 0, 2), ("long", "<<SRC:d:1>>", 1, 2), ("twice", "<<SRC:d:9>>", 0, 1), ("twice", "nothing", 0, 1)]
-    df = spark.createDataFrame(rows, "n string, a string, part int, parts int")
+    rows = [("twice", "<<SRC:d:9>>"), ("twice", "nothing"), ("same", "<<SRC:d:1>>"), ("same", "<<SRC:d:1>>")]
+    df = spark.createDataFrame(rows, "n string, a string")
     built = pairs.build_pair(F.col("n"), F.lit("Q"), F.col("a"), F.lit("r"), F.lit("d"))
-    made = df.select(built.alias("p"), "part", "parts").select("p.*", "part", "parts")
-    result = publish.validate(made, known, ["d"])
+    result = publish.validate(df.select(built.alias("p")).select("p.*"), known, ["d"])
     rows = sorted((r.id, r.citations, r.has_citations, r.all_valid) for r in result.verdicts.collect())
-    assert rows == [("long", 1, True, True), ("twice", 0, False, False), ("twice", 1, True, False)]
-    with pytest.raises(ValueError, match="1 of 3"):
+    assert rows == [("same", 1, True, True), ("same", 1, True, True), ("twice", 0, False, False), ("twice", 1, True, False)]
+    with pytest.raises(ValueError, match="1 of 4"):
         result.require_valid()
-    ids = {r.id for r in review.to_records(made).collect()}
-    assert ids == {"long#0", "long#1", "twice"}
 
 
 def test_created_at_is_utc(spark):
@@ -252,12 +278,16 @@ def test_push_replaces_and_archives(spark, tmp_path):
     table = live(spark, [
         ("1", "r", [("edited_answer", "x", "submitted")]), ("2", "r", []), ("3", "other", [("review_decision", "a", "submitted")]),
     ])
-    vectors = spark.createDataFrame([("p0", [1.0, 2.0])], "id string, vector array<float>")
+    wide = [1.0, 2.0] * 192
+    vectors = spark.createDataFrame([("p0", wide)], "id string, vector array<float>")
+    narrow = vectors.withColumn("vector", F.slice("vector", 1, 64))
+    with pytest.raises(Exception, match="not 384 wide"):
+        publish.push(table, make_pairs(spark, 2), narrow).live.collect()
     result = publish.push(table, make_pairs(spark, 2), vectors)
     assert tuple(result.counts.first()) == (2, 2, 1, 1)
     kept = {r.id: r for r in result.live.collect()}
     assert set(kept) == {"3", "p0", "p1"}
-    assert kept["p0"].vector == [1.0, 2.0] and kept["p1"].vector is None
+    assert kept["p0"].vector == wide and kept["p1"].vector is None
     assert kept["p0"].source_data == '```json\n{\n  "a": {\n    "b": [\n      1,\n      "x"\n    ]\n  }\n}\n```'
     assert kept["p0"].metadata.has_citation == "True" and kept["p0"].metadata.source_type == "mcp_extraction"
     old = result.archived.collect()
