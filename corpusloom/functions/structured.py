@@ -146,7 +146,15 @@ def filled_array(c: Column) -> Column:
     return F.when(F.size(c) > 0, c)
 
 
+def _indented(text: str) -> str:
+    try:
+        return json.dumps(json.loads(text), indent=2)
+    except ValueError:
+        return text
+
+
 @F.pandas_udf(T.StringType())
 def indent_json(texts: pd.Series) -> pd.Series:
-    """Two-blank indented, ASCII-only layout; built-in writers have one fixed other layout."""
-    return texts.map(lambda t: json.dumps(json.loads(t), indent=2), na_action="ignore")
+    """Two-blank indented, ASCII-only layout in the order of the text's own fields, which no built-in
+    writer keeps; what is not JSON passes through unchanged."""
+    return texts.map(_indented, na_action="ignore")

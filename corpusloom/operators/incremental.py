@@ -51,16 +51,15 @@ def to_generate(planned: DataFrame) -> DataFrame:
 def upsert(cache: DataFrame, written: DataFrame) -> DataFrame:
     """New snapshot: keys written in this run replace their old entry, the others stay.
 
-    ``written`` has ``ordinal``; of several writes to one key the last wins. One aggregate with
-    map-side combine does both, so a key with very many writes is no hot spot.
+    ``written`` has ``ordinal``, distinct within a key; of several writes to one key the last wins. Only
+    the written keys are aggregated (a hash aggregate of the ordinal); kept entries pass through an
+    anti join untouched.
     """
     fields = ["hash", "full_hash", "pairs"]
-    old = cache.select(*KEY, *fields, F.lit(None).cast("bigint").alias("_at"))
-    new = written.select(*KEY, *fields, F.col("ordinal").cast("bigint").alias("_at"))
-    entry = F.struct(*fields)
-    version = F.struct(F.col("_at").isNotNull().alias("new"), F.coalesce("_at", F.lit(0)).alias("at"))
-    merged = old.unionByName(new).groupBy(*KEY).agg(F.max_by(entry, version).alias("_e"))
-    return merged.select(*KEY, *[F.col("_e")[f].alias(f) for f in fields])
+    new = written.select(*KEY, *fields, F.coalesce(F.col("ordinal").cast("bigint"), F.lit(0)).alias("_at"))
+    last = new.groupBy(*KEY).agg(F.max("_at").alias("_at"))
+    kept = cache.join(last, KEY, "left_anti").select(*KEY, *fields)
+    return kept.unionByName(new.join(last, [*KEY, "_at"]).select(*KEY, *fields))
 
 
 def cache_stats(planned: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.structured import indent_json
@@ -80,13 +80,14 @@ def two_pass(
 ) -> DataFrame:
     """Entities (``domain, entity_id, entity_name, ordinal, entity_json, source_data, source_hash``)
     to the same rows with ``pairs``. Rows without items from the first pass get no second prompt,
-    so they stay in the same plan without a second call."""
+    so they stay in the same plan without a second call. ``errors`` has the stage and message of every
+    failed call."""
     domain = F.lit(spec.name)
     user = prompts.user_prompt(domain, F.col("entity_id"), F.col("user_json"), F.col("entity_name"))
     base = entities.columns
     rows = spread(entities, tasks).withColumn("user_json", indent_json("entity_json"))
     rows = rows.withColumn("system", F.lit(prompts.battery_system(spec.name))).withColumn("user", user)
-    rows = _answered(rows, factory, "first", max_tokens).drop("first_error")
+    rows = _answered(rows, factory, "first", max_tokens)
 
     before, after = prompts.discovery_parts(spec.name)
     existing = F.concat(F.lit(before), prompts.existing_block(F.col("battery_items")), F.lit(after))
@@ -108,7 +109,17 @@ def two_pass(
         F.col("source_data"),
         F.col("source_hash"),
     )
-    return rows.withColumn("items", items).select(*base, made.alias("pairs"))
+    failed = F.array(_failure("battery", "first_error"), _failure("discovery", "second_error"))
+    return rows.withColumn("items", items).select(*base, made.alias("pairs"), F.array_compact(failed).alias("errors"))
+
+
+def _failure(stage: str, column: str) -> Column:
+    return F.when(F.col(column).isNotNull(), F.struct(F.lit(stage).alias("stage"), F.col(column).alias("message")))
+
+
+def failures(rows: DataFrame) -> DataFrame:
+    """One row per failed model call: domain, entity_id, stage, message."""
+    return rows.select("domain", "entity_id", F.explode("errors").alias("e")).select("domain", "entity_id", "e.stage", "e.message")
 
 
 def judge(entities: DataFrame, factory: Factory | None, max_tokens: int = 2048) -> DataFrame:
@@ -121,8 +132,13 @@ def judge(entities: DataFrame, factory: Factory | None, max_tokens: int = 2048)
     message = prompts.judge_user(indent_json("source_data"), prompts.judge_block(F.col("pairs")))
     asked = asked.withColumn("user", F.when(F.size("pairs") > 0, message))
     packed = asked.withColumn("_pairs", F.to_json("pairs")).drop("pairs")
+    if "errors" in entities.columns:
+        packed = packed.withColumn("_errors", F.to_json("errors")).drop("errors")
     answered = _answered(packed, factory, "judge", max_tokens)
     answered = answered.withColumn("pairs", F.from_json("_pairs", entities.schema["pairs"].dataType))
+    if "errors" in entities.columns:
+        earlier = F.from_json("_errors", entities.schema["errors"].dataType)
+        answered = answered.withColumn("errors", F.concat(earlier, F.array_compact(F.array(_failure("judge", "judge_error")))))
     return judging.apply_to_list(answered, "judge_text").select(*entities.columns)
 
 

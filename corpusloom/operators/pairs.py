@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +13,9 @@ from ..schema import EXTRACTION_SOURCE
 
 
 def created_now() -> Column:
-    """ISO text of the query start in UTC, whatever the session time zone is."""
-    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
-    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    """ISO text of the time of this call in UTC. It is fixed when the plan is built, so that a pair and
+    its copy in the cache carry the same one, whenever they are written."""
+    return F.lit(datetime.now(UTC).isoformat(timespec="microseconds"))
 
 
 def build_pair(

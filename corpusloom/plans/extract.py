@@ -22,6 +22,7 @@ class DomainRun:
     records: DataFrame
     written: DataFrame
     planned: DataFrame
+    errors: DataFrame
 
 
 @dataclass
@@ -32,13 +33,25 @@ class Run:
     records: dict[str, DataFrame] = field(default_factory=dict)
     cache: DataFrame | None = None
     planned: dict[str, DataFrame] = field(default_factory=dict)
+    #: failed model calls by catalog: domain, entity_id, stage (battery, discovery, judge), message
+    errors: dict[str, DataFrame] = field(default_factory=dict)
+
+    def error_counts(self) -> DataFrame | None:
+        """Failed calls per catalog and stage; None without catalogs."""
+        frames = list(self.errors.values())
+        if not frames:
+            return None
+        every = frames[0]
+        for frame in frames[1:]:
+            every = every.unionByName(frame)
+        return every.groupBy("domain", "stage").agg(F.count(F.lit(1)).alias("failed"))
 
     def all_pairs(self) -> DataFrame:
         return tables.union_sources(self.pairs)
 
 
 def comparison_pairs(comparisons: DataFrame) -> DataFrame:
-    """Comparison rows in the pair layout; ``part`` and ``parts`` stay beside it."""
+    """Comparison rows in the pair layout."""
     data = F.to_json(
         F.struct(
             F.lit(compare.COMPARISON_TYPE).alias("comparison_type"),
@@ -56,9 +69,8 @@ def comparison_pairs(comparisons: DataFrame) -> DataFrame:
         F.col("granularity"),
         data,
     )
-    # every comparison answer has markers, also where this part of it has none
     pair = pair.withField("metadata.has_citation", F.col("has_citation"))
-    return comparisons.select(pair.alias("p"), "part", "parts").select("p.*", "part", "parts")
+    return comparisons.select(pair.alias("p")).select("p.*")
 
 
 def extract_domain(
@@ -102,7 +114,7 @@ def extract_domain(
         "domain", "entity_id", "ordinal", F.col("source_hash").alias("hash"), "full_hash", "pairs"
     )
     # the comparisons read the records many times: keep them, not the scan and the cleaning
-    return DomainRun(both, written(domains.records(rows)), entries, planned)
+    return DomainRun(both, written(domains.records(rows)), entries, planned, infer.failures(made))
 
 
 def run(
@@ -119,6 +131,7 @@ def run(
     dry run is this call alone. An unregistered catalog is skipped."""
     config = config or ExtractionConfig()
     out = Run(cache=cache if cache is not None else tables.empty_cache(spark))
+    entries = None
     for name, frame in items.items():
         spec = domains.REGISTRY.get(name)
         if spec is None:
@@ -129,7 +142,10 @@ def run(
         out.pairs[name] = one.pairs.select(*PAIR_FIELDS)
         out.records[name] = one.records
         out.planned[name] = one.planned
-        out.cache = incremental.upsert(out.cache, one.written)
+        out.errors[name] = one.errors
+        entries = one.written if entries is None else entries.unionByName(one.written)
+    if entries is not None:
+        out.cache = incremental.upsert(out.cache, entries)
     comparisons = compare.generate(
         resources=out.records.get("compute-resources"),
         software=out.records.get("software-discovery"),

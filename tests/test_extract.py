@@ -96,7 +96,7 @@ def test_resources(spark):
 
 def test_software(spark):
     one = {"name": "pytorch", "description": "The PyTorch lib", "versions": [], "documentation": {"u": 1}, "website": "",
-           "available_on_resources": [{"resource_id": "d"}, {"name": "n"}, "p", 7, {}, ""],
+           "available_on_resources": [{"resource_id": "d"}, {"name": "n"}, "p", 7, {}, "", {"resource_id": None, "name": "gone"}],
            "ai_metadata": {"tags": ["t"], "research_area": "", "example_use": "e" * 1501, "core_features": "fast"}}
     data = {"items": [one, {"name": "PyTorch"}, {"name": ""}, {"name": "GCC", "available_on_resources": "all"}]}
     rows = cleaned(spark, "software-discovery", data)
@@ -128,6 +128,10 @@ def test_failed_call_costs_one_entity_and_second_run_generates_nothing(spark, tm
     first = run(spark, frames, failing_backend, judge=infer.echo_backend)
     made = first.pairs["nsf-awards"].collect()
     assert sorted(r.id for r in made) == ["nsf-awards_1_1", "nsf-awards_3_1"]
+    failed = {(r.entity_id, r.stage) for r in first.errors["nsf-awards"].collect()}
+    assert ("2", "battery") in failed and {e for e, _ in failed} == {"2"}
+    assert all("down" in r.message for r in first.errors["nsf-awards"].collect())
+    assert {(r.stage, r.failed) for r in first.error_counts().collect()} >= {("battery", 1)}
     assert all(r.metadata.confidence_score == 0.8 and r.metadata.suggested_decision == "approved" for r in made)
     assert first.records["nsf-awards"].count() == 3 and "unknown" not in first.pairs
     assert [r.id for r in first.pairs["comparisons"].collect()] == ["cmp_nsf_prog_p"]

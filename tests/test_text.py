@@ -126,5 +126,5 @@ def test_hash_of_map_ignores_order(spark):
 
 
 def test_indent_json(values):
-    rows = ['{"b":[1,2],"a":{"x":"é"},"c":[]}', None]
-    assert values(js.indent_json, rows) == [json.dumps(json.loads(rows[0]), indent=2), None]
+    rows = ['{"b":[1,2],"a":{"x":"é"},"c":[]}', None, "", "plain text", "{broken"]
+    assert values(js.indent_json, rows) == [json.dumps(json.loads(rows[0]), indent=2), *rows[1:]]
