@@ -44,7 +44,62 @@ MIX_SEED = 11
 MIX_EPOCHS = 3
 
 
-@query("op6_budget_mixture")
+def _fill_sql(source: str, parents: str, budget: str, cap: str, weight: str, name: str, out: str) -> str:
+    """Water filling among siblings, step by step; the twin of ``mixing.fill``."""
+    by = f"PARTITION BY {parents}" if parents else ""
+    also = f"{parents}, " if parents else ""
+    order = f"ORDER BY {cap} / {weight}::double, {name}"
+    return f"""(
+      SELECT * EXCLUDE (bef, rst, ful, tak, opn, shr),
+        (shr + CASE WHEN NOT ful AND row_number() OVER (PARTITION BY {also}ful {order})
+          <= {budget} - sum(shr) OVER ({by}) THEN 1 ELSE 0 END)::bigint AS {out}
+      FROM (SELECT *, CASE WHEN ful THEN {cap} ELSE ({weight} * ({budget} - tak)) // opn END AS shr
+      FROM (SELECT *, sum(CASE WHEN ful THEN {cap} ELSE 0 END) OVER ({by}) AS tak,
+          sum(CASE WHEN ful THEN 0 ELSE {weight} END) OVER ({by}) AS opn
+      FROM (SELECT *, {cap} = 0 OR {cap} * rst <= ({budget} - bef) * {weight} AS ful
+      FROM (SELECT *, coalesce(sum({cap}) OVER ({by} {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bef,
+          sum({weight}) OVER ({by} {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rst
+      FROM {source})))))"""
+
+
+def _weight_sql(key: str, *columns: str) -> str:
+    cases = " ".join(f"WHEN {c} = '{k[-1]}' THEN {w}" for c in columns for k, w in MIX_WEIGHTS.items() if (len(k) == 1) == (key == "domain"))
+    return f"CASE {cases} ELSE 1 END"
+
+
+MIX_SQL = f"""
+  WITH d AS (
+    SELECT doc_id, 'domain' || coalesce((try_cast(regexp_extract(source, '[0-9]+$') AS bigint) // 5)::varchar, '') AS domain,
+      coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+      coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS tokens
+    FROM documents),
+  leaves AS (
+    SELECT domain, lang, source, sum(tokens) AS tokens, sum(tokens) * {MIX_EPOCHS} AS c_source,
+      {_weight_sql("domain", "domain")} AS w_domain, {_weight_sql("lang", "lang")} AS w_lang, {_weight_sql("source", "source")} AS w_source
+    FROM d GROUP BY domain, lang, source),
+  root AS (
+    SELECT domain, any_value(w_domain) AS w_domain, sum(c_source) AS c_domain,
+      least(sum(sum(c_source)) OVER (), sum(sum(tokens)) OVER () * 3 // 4) AS b_root
+    FROM leaves GROUP BY domain),
+  domains AS (SELECT * FROM {_fill_sql("root", "", "b_root", "c_domain", "w_domain", "domain", "b_domain")}),
+  under AS (
+    SELECT domain, lang, any_value(w_lang) AS w_lang, sum(c_source) AS c_lang, any_value(b_domain) AS b_domain
+    FROM leaves JOIN domains USING (domain) GROUP BY domain, lang),
+  langs AS (SELECT * FROM {_fill_sql("under", "domain", "b_domain", "c_lang", "w_lang", "lang", "b_lang")}),
+  below AS (SELECT leaves.*, b_lang FROM leaves JOIN langs USING (domain, lang)),
+  shared AS (SELECT * FROM {_fill_sql("below", "domain, lang", "b_lang", "c_source", "w_source", "source", "budget")}),
+  plan AS (
+    SELECT domain, lang, source, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END::bigint AS epochs,
+      CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END::bigint AS rest FROM shared),
+  placed AS (
+    SELECT doc_id, domain, lang, source, epochs, rest,
+      sum(d.tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('{MIX_SEED}:' || epochs || ':' || doc_id)) AS upto
+    FROM d JOIN plan USING (domain, lang, source))
+  SELECT doc_id, domain, lang, source, unnest(range(epochs + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch
+  FROM placed"""
+
+
+@query("op6_budget_mixture", MIX_SQL)
 def budget_mixture(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     leaves = mixing.plan(docs, MIX_WEIGHTS, (3, 4), MIX_EPOCHS, MIX_SEED)
