@@ -30,12 +30,18 @@ BINS = 1 << 20
 CHUNK = 1 << 12
 #: Hash classes of the suffix filter; each is counted in a byte (saturated: the bound stays a lower one).
 SUFFIX = 8
+#: Bits of the parity filter: sets whose bitmaps (parity of n-grams by bit) differ in d bits differ in d
+#: n-grams at least.
+BITS = 1024
+#: First tokens of long lists by which a class knows where it met another before.
+MET = 16
 #: From this count of its bin on, the posting list of an n-gram is laid out in slices.
 HOT = 1 << 15
 SLICES = 1024
 #: Lists up to this size give all their pairs (so at most LIST/2 pairs a member).
 LIST = 64
-HUBS = 4
+#: Members of a long list that are held against all others first.
+HUBS = 8
 #: Classes up to this number are picked out by a broadcast join (16 bytes a row), more by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -73,6 +79,12 @@ def _prefix(n: int, num: int, den: int) -> tuple[int, int]:
     return index, probe
 
 
+def _parity(grams: np.ndarray) -> bytes:
+    """BITS bits: whether an odd number of n-grams fall on each."""
+    odd = np.bincount((W.mix(grams) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
 class NgramJoin:
     """``num``/``den``: least similarity; ``size``: words of an n-gram."""
 
@@ -82,7 +94,8 @@ class NgramJoin:
         first = written(self._first_pass())
         #: one row per document: doc_id, tie (hash of its text), n (set size), c (class; NULL without words)
         self.rows = first.where("chunk is null").select("doc_id", "tie", "n", "c")
-        self.classes = written(self.rows.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id")))
+        kinds = first.where("chunk is null and n > 0").groupBy("c")
+        self.classes = written(kinds.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("body").alias("parity")))
         self._order = self._load_order(first)
 
     def _first_pass(self) -> DataFrame:
@@ -94,14 +107,15 @@ class NgramJoin:
             for batch in batches:
                 n = [0] * batch.num_rows
                 c: list[int | None] = [None] * batch.num_rows
+                parity: list[bytes | None] = [None] * batch.num_rows
                 for row, grams in _sets(batch.column(1), size):
-                    n[row], c[row] = len(grams), _class(grams)
+                    n[row], c[row], parity[row] = len(grams), _class(grams), _parity(grams)
                     if c[row] not in seen:
                         seen.add(c[row])
                         counts[(grams & np.uint64(BINS - 1)).astype(np.int64)] += np.uint32(1)
                 rows = batch.num_rows
                 yield pa.record_batch(
-                    [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
+                    [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.nulls(rows, pa.int32()), pa.array(parity, pa.binary())],
                     names=["doc_id", "tie", "n", "c", "chunk", "body"],
                 )
             k = BINS // CHUNK
@@ -230,7 +244,20 @@ class NgramJoin:
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The candidate pairs (u, v, any multiplicity) that are similar, with ``shared`` and both sizes."""
-        pairs = written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        side = lambda x: self.classes.select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"p{x}"))
+        total = F.col("nu") + F.col("nv")
+        most = total - 2 * F.ceil(total * self.num / (self.num + self.den) - F.lit(1e-9))
+
+        def apart(batches):
+            for batch in batches:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BITS // 8) for k in (3, 4))
+                differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                near = pa.array(differ <= np.asarray(batch.column(2)))
+                yield pa.record_batch([batch.column(0).filter(near), batch.column(1).filter(near)], names=["u", "v"])
+
+        pairs = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", most.cast("long").alias("most"), "pu", "pv")
+        pairs = written(pairs.mapInArrow(apart, "u long, v long"))
         sets = self._grams(pairs.select(F.col("u").alias("c")).unionAll(pairs.select("v")).distinct())
         a = sets.select(F.col("c").alias("u"), F.col("grams").alias("a"))
         b = sets.select(F.col("c").alias("v"), F.col("grams").alias("b"))
@@ -252,45 +279,51 @@ class NgramJoin:
         )
         candidates = short.select(*pair)
         long = lists.where(f"m > {LIST}")
-        some = long.limit(1).count() > 0
-        if some:
-            ranked = F.sort_array(F.collect_list("e"))
-            salted = long.select("token", F.struct(F.xxhash64("token", "c").alias("h"), "c", "n", "pos", "tail").alias("e"))
-            # HUBS members with the least salted hash: first within hash classes, so no group is whole in one task
-            for keys in (["token", "slice"], ["token"]):
-                salted = salted.withColumn("slice", F.pmod(F.col("e.h"), F.lit(1024))).groupBy(*keys).agg(
-                    F.slice(ranked, 1, HUBS).alias("e")
-                ).select("token", F.explode("e").alias("e"))
-            hubs = written(salted.select("token", "e.c", "e.n", "e.pos", "e.tail"))
-            star = long.alias("x").join(
-                hubs.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & self._passes("x", "y")
-            )
-            candidates = candidates.unionAll(star.select(*pair))
+        if not long.limit(1).count():
+            return written(self._verified(candidates).select("u", "v"))
+        candidates = candidates.unionAll(self._stars(long))
         links = written(self._verified(candidates).select("u", "v"))
-        if some:
-            links = links.unionAll(self._rest(long, links))
-        return links
-
-    def _rest(self, long: DataFrame, links: DataFrame) -> DataFrame:
-        """Links of long lists between components that are still apart: members outside a list's
-        largest component against all members of other components."""
+        return links.unionAll(self._rest(self._open(long, links)))
+
+    def _stars(self, long: DataFrame) -> DataFrame:
+        """Pairs of each list's hubs with its members. Hubs are the members with the fewest rarer n-grams
+        before this one, which are those with the least of their own; lists of the same members mostly have
+        the same hubs. They are found first within slices of a list."""
+        ranked = F.sort_array(F.collect_list("e"))
+        fields = [c for c in long.columns if c != "token"]
+        hubs = long.select("token", F.struct(F.col("pos").alias("rank"), F.xxhash64("c", F.lit("hub")).alias("h"), *fields).alias("e"))
+        for keys in (["token", "slice"], ["token"]):
+            hubs = hubs.withColumn("slice", F.pmod(F.col("e.h"), F.lit(SLICES))).groupBy(*keys)
+            hubs = hubs.agg(F.slice(ranked, 1, HUBS).alias("e")).select("token", F.explode("e").alias("e"))
+        hubs = written(hubs.select("token", *[f"e.{c}" for c in fields]))
+        same = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & self._passes("x", "y")
+        return long.alias("x").join(hubs.alias("y"), same).select(F.col("x.c").alias("u"), F.col("y.c").alias("v"))
+
+    def _open(self, long: DataFrame, links: DataFrame) -> DataFrame:
+        """Members of the long lists whose members are not all in one component yet, each with its
+        component (root), the list's largest one (main) and the class's first long lists (met)."""
         roots = components(links)
-        placed = written(
-            long.join(roots.withColumnRenamed("u", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-        )
+        met = long.groupBy("c").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, MET)["token"].alias("met"))
+        placed = long.join(roots.withColumnRenamed("u", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        placed = written(placed.join(met, "c"))
         parts = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
         main = parts.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        open_ = placed.join(main.where("parts > 1"), "token")
+        return written(placed.join(main.where("parts > 1"), "token"))
+
+    def _rest(self, open_: DataFrame) -> DataFrame:
+        """Links between components that are still apart: members outside a list's largest component
+        against all members of other components."""
         x, y = open_.where("root <> main").alias("x"), open_.alias("y")
         once = (F.col("y.root") == F.col("y.main")) | (F.col("x.c") < F.col("y.c"))
-        rest = x.join(
-            y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & self._passes("x", "y")
-        )
-        pairs = rest.select(F.col("x.c").alias("u"), F.col("y.c").alias("v"))
-        return written(self._verified(pairs).select("u", "v"))
+        # two classes meet at the first token they share; without one among their first tokens, at any
+        both = F.array_intersect("x.met", "y.met")
+        here = F.coalesce(F.try_element_at(both, F.lit(1)) == F.col("x.token"), F.lit(True))
+        same = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
+        rest = x.join(y, same & once & self._passes("x", "y") & here)
+        return written(self._verified(rest.select(F.col("x.c").alias("u"), F.col("y.c").alias("v"))).select("u", "v"))
 
     def members(self) -> DataFrame:
-        """``doc_id``, ``tie``, ``n`` and ``component_id`` of every document row.
+        """``doc_id``, ``tie``, ``n``, ``component_id`` and ``root`` (the component's class) of every document row.
 
         Documents without words are linked with nothing. NULL ids count as larger than any id when a
         component is named; rows that share an id are separate documents.
@@ -298,11 +331,11 @@ class NgramJoin:
         roots = components(self.links())
         named = self.classes.join(roots.withColumnRenamed("u", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-        named = named.join(least, "root").select("c", "component_id")
+        named = named.join(least, "root").select("c", "component_id", "root")
         full = self.rows.where("n > 0")
         out = lookup_join(full, written(named), ["c"], ["doc_id", "tie"])
-        empty = self.rows.where("n = 0").withColumn("component_id", F.col("doc_id"))
-        columns = ["doc_id", "tie", "n", "component_id"]
+        empty = self.rows.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("root", F.lit(None).cast("long"))
+        columns = ["doc_id", "tie", "n", "component_id", "root"]
         return out.select(*columns).unionAll(empty.select(*columns))
 
 
@@ -313,19 +346,20 @@ def without_near_copies(docs: DataFrame, size: int = 5, num: int = 4, den: int =
     rows = written(join.members())
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie")
     words = rows.where("n > 0")
-    # the component's name is NULL when all its ids are: then every text keeps its own row
-    kept = words.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("tie")).alias("own")).agg(F.min(rank).alias("r"))
+    kept = words.groupBy("root").agg(F.min(rank).alias("r"))
     kept = kept.select(F.col("r.doc_id").alias("k_id"), F.col("r.tie").alias("k_tie"))
     kept = kept.unionAll(rows.where("n = 0").select("doc_id", "tie")).distinct()
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    t = names["text"]
-    inner = inner.withColumn("k_id", F.col(names["doc_id"])).withColumn("k_tie", F.xxhash64(t))
-    k = kept.select(F.col("k_id").alias("q_id"), F.col("k_tie").alias("q_tie"))
-    stay = inner.join(k, F.col("k_id").eqNullSafe(F.col("q_id")) & (F.col("k_tie") == F.col("q_tie")), "left_semi")
-    filled = stay.where(F.col(t).rlike(W_RE)).dropDuplicates(["k_id", "k_tie"])
-    blank = stay.where(~F.coalesce(F.col(t).rlike(W_RE), F.lit(False)))
-    return filled.unionAll(blank).select(*[F.col(n).alias(c) for c, n in names.items()])
+    t, i = F.col(names["text"]), F.col(names["doc_id"])
+    # plain equality of three columns, so that the join and the removal of equal rows share one shuffle
+    key = lambda id_, tie: [F.coalesce(id_.cast("string"), F.lit("")).alias("k_id"), id_.isNull().alias("k_null"), tie.alias("k_tie")]
+    keys = ["k_id", "k_null", "k_tie"]
+    stay = inner.select("*", *key(i, F.xxhash64(t))).join(kept.select(*key(F.col("k_id"), F.col("k_tie"))), keys, "left_semi")
+    some = F.coalesce(t.rlike(W_RE), F.lit(False))
+    # rows without words stay apart, each under a number of its own
+    stay = stay.withColumn("k_row", F.when(some, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1))
+    return stay.dropDuplicates([*keys, "k_row"]).select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 W_RE = r"[^\x20\x09-\x0D]"
