@@ -170,6 +170,37 @@ class _Solver:
                 self.symbols.extend(b + 2 for b in text)
                 self.symbols.append(1)
 
+    def _repeats(self, array: np.ndarray, equal: np.ndarray) -> None:
+        """All windows of each run of equal ones go but the earliest; ``equal``: a suffix and the one before
+        it in ``array`` have a window in common."""
+        inside = equal.copy()
+        inside[:-1] |= equal[1:]
+        at = array[inside]
+        if not len(at):
+            return
+        run = np.cumsum(~equal)[inside]
+        owner = np.searchsorted(np.array([o[0] for o in self.owner]), at, "right") - 1
+        # documents in their order; surroundings of neighbouring grams overlap, so a window may be here twice
+        documents = {k: i for i, k in enumerate(sorted({o[1][0] for o in self.owner}))}
+        document = np.array([documents[o[1][0]] for o in self.owner])[owner]
+        offset = np.array([o[3] - o[0] for o in self.owner])
+        position = at + offset[owner]
+        wide = np.int64(1) << np.int64(40)
+        rank = document * wide + position
+        first = np.concatenate(([0], np.flatnonzero(np.diff(run)) + 1))
+        least = np.minimum.reduceat(rank, first)
+        gone = rank != np.repeat(least, np.diff(np.append(first, len(rank))))
+        rank, owner = rank[gone], owner[gone]
+        if not len(rank):
+            return
+        rank, which = np.unique(rank, return_index=True)
+        owner = owner[which]
+        breaks = np.flatnonzero(np.diff(rank) > self.length)
+        heads, tails = np.append(0, breaks + 1), np.append(breaks, len(rank) - 1)
+        for k, low, high in zip(owner[heads].tolist(), (rank[heads] % wide).tolist(), (rank[tails] % wide).tolist(), strict=True):
+            r = self.owner[k][2]
+            self.removed.append((r["doc_id"], r["place"], low, high + self.length))
+
     def full(self) -> bool:
         return len(self.symbols) >= BLOCK
 
@@ -186,24 +217,7 @@ class _Solver:
             symbols.append(0)
             array = suffix_array(symbols)
             shared = common_prefixes(symbols, array)
-            starts = np.array([o[0] for o in self.owner])
-            run: list[int] = []
-            for k, i in enumerate([*array, -1]):
-                if i >= 0 and shared[k] >= length:
-                    run.append(i)
-                    continue
-                if len(run) > 1:
-                    who = np.searchsorted(starts, run, "right") - 1
-                    found = []
-                    for w, x in zip(who.tolist(), run, strict=True):
-                        first, key, r, position = self.owner[w]
-                        found.append((key[0], position + x - first, r))
-                    found.sort(key=lambda f: f[:2])
-                    for key, position, r in found[1:]:
-                        # surroundings of neighbouring grams overlap: the same window may be here twice
-                        if (key, position) != found[0][:2]:
-                            self.removed.append((r["doc_id"], r["place"], position, position + length))
-                run = [i]
+            self._repeats(np.array(array), np.array(shared) >= length)
         out = self.removed
         self.symbols, self.owner, self.removed = [], [], []
         return out
@@ -325,8 +339,21 @@ def removals(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataF
 
     def merge(batches):
         for batch in batches:
-            merged = [[{"first": a, "end": b} for a, b in _merged(x, _POSITION)] for x in batch.column(2).to_pylist()]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(merged, SPANS)], names=["id_", "tie_", "stretches"])
+            lists = batch.column(2)
+            flat = lists.flatten()
+            n = np.asarray(lists.value_lengths())
+            first, end = (np.asarray(flat.field(k)) for k in (0, 1))
+            row = np.repeat(np.arange(len(n)), n)
+            # running maximum of the ends within each list: lists are told apart by their high bits
+            lead = row.astype(np.int64) << np.int64(41)
+            reach = np.maximum.accumulate(lead + end)
+            new = np.ones(len(first), bool)
+            new[1:] = lead[1:] + first[1:] > reach[:-1]
+            heads = np.flatnonzero(new)
+            tails = np.append(heads[1:] - 1, len(first) - 1) if len(heads) else heads
+            merged = pa.StructArray.from_arrays([pa.array(first[heads]), pa.array(reach[tails] - lead[tails])], ["first", "end"])
+            edges = np.concatenate(([0], np.cumsum(np.bincount(row[heads], minlength=len(n))))).astype(np.int32)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(edges), merged)], names=["id_", "tie_", "stretches"])
 
     return bounds.mapInArrow(merge, f"id_ {kind}, tie_ long, stretches array<struct<first:long,end:long>>")
 
