@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..operators.skew import hot_keys
+from ..operators.skew import HOT_LOOK, hot_keys
 from ..settings import written
 from . import words as W
 from .anchors import GRAM, PART, chosen, prefix_sums
@@ -42,6 +42,9 @@ BLOCK = 50_000
 #: list entries together, by a shuffle beyond.
 BROADCAST = 4_000_000
 
+#: Rows of one gram from which on its occurrences are laid out in slices.
+HOT_FLOOR = 20_000
+
 #: place = 24 bits that tell documents of one id apart, then 39 bits of position.
 _POSITION = (1 << 39) - 1
 
@@ -270,9 +273,12 @@ def _picked(docs: DataFrame, lists: DataFrame, size: int) -> DataFrame:
     return docs.join(side, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("tie") == F.col("tie_")), "left")
 
 
-def removals(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
+def removals(
+    docs: DataFrame, length: int = LENGTH, group: int = GROUP, floor: int = HOT_FLOOR, look: int = HOT_LOOK
+) -> DataFrame:
     """Stretches of bytes to remove, per document: id_, tie_ and sorted ``stretches`` (first, end) that
-    neither touch nor overlap; ends may lie beyond the text."""
+    neither touch nor overlap; ends may lie beyond the text. ``floor`` and ``look`` say from which
+    (estimated) number of rows on a gram is cut into slices, see ``skew.hot_keys``."""
     if length < GRAM + 1:
         raise ValueError(f"length must be above {GRAM}")
     left = length - GRAM
@@ -280,7 +286,7 @@ def removals(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataF
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     texts = _ties(docs.select("doc_id", "text"))
     found = texts.where(F.octet_length("text") >= length).mapInArrow(_occurrences(length), f"h long, doc_id {kind}, place long, around long")
-    hot = hot_keys(found, ["h"], ["doc_id", "place"])
+    hot = hot_keys(found, ["h"], ["doc_id", "place"], floor, look)
     found = found.withColumn("cut", F.lit(0).cast("long")) if hot is None else (
         found.join(F.broadcast(hot), "h", "left")  # at most 10,000 rows
         .withColumn("cut", F.coalesce(F.pmod(F.xxhash64("doc_id", "place"), F.col("_slices")) + 1, F.lit(0)))

@@ -195,7 +195,7 @@ def test_removal_equals_brute_force(spark, monkeypatch, group):
     monkeypatch.setattr(substrings, "GROUP", group)
     if group == 1:
         lists = substrings.removals
-        monkeypatch.setattr(substrings, "removals", lambda d, n: lists(d, n, 1))
+        monkeypatch.setattr(substrings, "removals", lambda d, n: lists(d, n, 1, floor=2, look=1))
     rows = substrings.deduplicated(docs).collect()
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
     assert got == brute_removal([(r.doc_id, r.text) for r in docs.collect()], 100)
