@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,8 +43,8 @@ FILE_BUCKETS = 256
 #: Bytes of text that one payload file takes, about.
 FILE_BYTES = 32 << 20
 LEVELS = 48
-#: Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 400_000
+#: Distinct pieces of text whose ids a Python worker remembers, in each of two generations.
+REMEMBERED = 300_000
 
 RECORD = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("start", "<u8"), ("n", "<u8")])
 
@@ -68,21 +70,41 @@ class Encoder:
         # names of special tokens inside a text are ordinary text
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [PIECES.findall(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = list({p for pieces in cut for p in pieces if p not in self.known})
+            # pieces that are met again move on to the new generation, the others are forgotten with the old
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for p in {p for pieces in cut for p in pieces if p not in known}:
+            if p in older:
+                known[p] = older[p]
+            else:
+                new.append(p)
         for low in range(0, len(new), 10_000):
             part = new[low : low + 10_000]
             for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(e.ids, self.dtype).tobytes()
-        known = self.known
+                ids = array(self.code, e.ids)
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                known[piece] = ids.tobytes()
         return [b"".join([known[p] for p in pieces]) for pieces in cut]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder, kept from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _keys(doc_id: Column, repeat: Column) -> list[Column]:
     return [F.xxhash64(doc_id, repeat).alias("h1"), F.xxhash64(F.lit("key"), repeat, doc_id).alias("h2")]
 
@@ -113,7 +135,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0) -> S
         system, folder = _open(path)
         system.create_dir(folder, recursive=True)
         name = f"payload-{shard:06d}-{uuid.uuid4().hex}.bin"
-        encoder = Encoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         close = np.array([end_id], encoder.dtype).tobytes()
         at, last, repeat = 0, object(), 0
         with system.open_output_stream(f"{folder}/{name}") as out:
