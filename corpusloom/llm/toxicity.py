@@ -11,27 +11,28 @@ for the best segment of a clean text of n words. Several segments are put togeth
 of their normalised scores lambda S - ln(K n). A logistic function of the resulting -ln p, fitted on the
 labels, is the score.
 
-The counts go through a count-min sketch of fixed size, so what the tasks get has a proven bound
-(16 bytes a bin), whatever the vocabulary. Everything is counted over all labelled rows.
+Counts are exact for every feature, over all labelled rows. Tasks hold those of the most frequent
+features up to a fixed number (28 bytes each); when there are more, the counts of the others that a text
+has are joined to it by a shuffle, so the bound changes the plan and never a score.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import lookup_join
 from ..settings import written
 from . import words as W
 
-#: Bins of each of the sketch's two rows; raise with the vocabulary.
-BINS = 1 << 20
-CHUNK = 1 << 12
+#: Features whose counts every task holds, most frequent first; those of the rest are joined.
+BINS = 1 << 21
 PRIOR = 3.0
 DRIFT = 1.5
 PREFIXES = (5, 7)
@@ -49,21 +50,51 @@ _SALTS = [np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint6
 
 
 @dataclass(frozen=True)
-class Sketch:
-    """Document counts by class and bin, with the number of documents of each class."""
+class Counts:
+    """Exact document counts by class of the features that tasks hold, with the number of documents of
+    each class."""
 
-    counts: np.ndarray  # [row, bin, class] int32
+    features: np.ndarray  # sorted uint64
+    counts: np.ndarray  # [feature, class] int64
+    first: np.ndarray  # by leading bits: the first feature with them
     clean: int
     toxic: int
 
+    @classmethod
+    def of(cls, features: np.ndarray, toxic: np.ndarray, clean: np.ndarray, documents: tuple[int, int] = (0, 0)) -> Counts:
+        """From parallel columns; ``documents``: clean and toxic ones."""
+        features = np.ascontiguousarray(features, np.int64).view(np.uint64)
+        order = np.argsort(features)
+        features = features[order]
+        bits = max(1, len(features).bit_length())
+        first = np.searchsorted(features >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        return cls(features, np.stack([clean, toxic], axis=1).astype(np.int64)[order], first, *documents)
+
+    def seen(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of each feature, and which features are not among those held."""
+        out, missing = np.zeros((len(h), 2), np.float64), np.ones(len(h), bool)
+        place = (h >> np.uint64(64 - (len(self.first) - 1).bit_length() + 1)).astype(np.int64)
+        at, end = self.first[place], self.first[place + 1]
+        left = np.flatnonzero(at < end)
+        while len(left):
+            same = self.features[at[left]] == h[left]
+            hit = left[same]
+            out[hit] = self.counts[at[hit]]
+            missing[hit] = False
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out, missing
+
 
 @dataclass(frozen=True)
 class Model:
-    sketch: Sketch
+    counts: Counts
     rate: float  # lambda
     k: float
     slope: float
     offset: float
+    rest: DataFrame | None = None  # feature, toxic, clean of the features that tasks do not hold
 
 
 def held_out(doc_id: Column) -> Column:
@@ -77,11 +108,6 @@ def _features(data: np.ndarray, at: np.ndarray):
     return starts, ends, [W.mix(h + s) for h, s in zip((*short, whole), _SALTS, strict=True)]
 
 
-def _bins(h: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    m = np.uint64(bins - 1)
-    return (h & m).astype(np.int64), ((h >> np.uint64(32)) & m).astype(np.int64)
-
-
 def _count(batches):
     """Document counts of the features in each batch of (text, toxic)."""
     for batch in batches:
@@ -124,50 +150,86 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(known, "doc_id").select("text", "toxic")
 
 
-def sketch(rows: DataFrame, bins: int = BINS) -> Sketch:
-    """Count-min sketch of the document counts of all features."""
-    counts = (
+def counted(rows: DataFrame, most: int = BINS) -> tuple[Counts, DataFrame | None]:
+    """Document counts of all features: for tasks to hold those of the most frequent ones, ``most`` at
+    the most; the others as a table, or None when there are none."""
+    size = F.col("toxic") + F.col("clean")
+    table = written(
         rows.mapInArrow(_count, "feature long, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .withColumn("level", F.when(size <= 1024, size).otherwise(F.floor(F.log2(size)) + 1024))
     )
-    mask = F.lit(bins - 1).cast("long")
-    placed = counts.select(
-        F.explode(
-            F.array(
-                F.col("feature").bitwiseAND(mask),
-                F.shiftrightunsigned("feature", 32).bitwiseAND(mask) + bins,
-            )
-        ).alias("bin"),
-        "toxic",
-        "clean",
-    )
-    summed = placed.groupBy("bin").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-
-    def dense(part: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros((CHUNK, 2), np.int32)
-        at = part["bin"].to_numpy() % CHUNK
-        out[at, 0] = np.minimum(part["clean"].to_numpy(), 2**31 - 1)
-        out[at, 1] = np.minimum(part["toxic"].to_numpy(), 2**31 - 1)
-        return pd.DataFrame({"chunk": [int(part["bin"].iloc[0]) // CHUNK], "body": [out.tobytes()]})
-
-    whole = np.zeros((2 * bins, 2), np.int32)
-    packed = summed.groupBy(F.expr(f"bin div {CHUNK}").alias("c")).applyInPandas(dense, "chunk long, body binary")
-    for r in packed.collect():  # 2 * bins / CHUNK rows of 32 KiB
-        whole[r.chunk * CHUNK : (r.chunk + 1) * CHUNK] = np.frombuffer(r.body, np.int32).reshape(-1, 2)
+    levels = {r.level: r.n for r in table.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= 1087 rows
+    total, cut = 0, 2048
+    for level in sorted(levels, reverse=True):
+        if total + levels[level] > most:
+            break
+        total, cut = total + levels[level], level
     by = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return Sketch(whole.reshape(2, bins, 2), by.get(0, 0), sum(v for k, v in by.items() if k))
+    documents = by.get(0, 0), sum(v for k, v in by.items() if k)
+    held = table.where(F.col("level") >= cut).select("feature", "toxic", "clean").toArrow()  # <= most rows
+    counts = Counts.of(*[held.column(c).to_numpy() for c in ("feature", "toxic", "clean")], documents)
+    rest = table.where(F.col("level") < cut).drop("level") if total < sum(levels.values()) else None
+    return counts, rest
+
 
+RARE = "_rare"
 
-def word_scores(chain: list[np.ndarray], model: Sketch, own: np.ndarray | None = None) -> np.ndarray:
+
+def with_rare(texts: DataFrame, counts: Counts, rest: DataFrame | None) -> DataFrame:
+    """``texts`` with one more column: the counts of the features of its text that are in ``rest``.
+
+    Each distinct text asks once for each of its features; the answers come back by the text's digest.
+    """
+    if rest is None:
+        return texts.withColumn(RARE, F.lit(None).cast("array<struct<feature:long,toxic:long,clean:long>>"))
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def ask(batches):
+        for batch in batches:
+            data, at = W.buffers(batch.column(1))
+            for low, high in W.blocks(at):
+                base = at[low]
+                edges = at[low : high + 1] - base
+                starts, _, chain = _features(data[base : at[high]], edges)
+                row = np.searchsorted(edges, starts, "right") - 1 + low
+                for h in chain:
+                    _, missing = shared.value.seen(h)
+                    asked = np.unique(np.stack([row[missing].astype(np.uint64), h[missing]]), axis=1)
+                    if asked.shape[1]:
+                        yield pa.record_batch(
+                            [batch.column(0).take(pa.array(asked[0].astype(np.int64))), pa.array(asked[1].view(np.int64))],
+                            names=["_place", "feature"],
+                        )
+
+    placed = texts.withColumn("_place", F.md5(F.coalesce("text", F.lit("")))).withColumn("_row", F.monotonically_increasing_id())
+    asked = written(placed.select("_place", "text").mapInArrow(ask, "_place string, feature long").distinct())
+    answers = lookup_join(asked, rest, ["feature"], ["_place"], "inner")
+    packed = answers.groupBy("_place").agg(F.collect_list(F.struct("feature", "toxic", "clean")).alias(RARE))
+    return lookup_join(placed, packed, ["_place"], ["_row"]).select(*texts.columns, RARE)
+
+
+def _rare(column: pa.Array) -> Counts | None:
+    """Counts out of a batch's ``with_rare`` column."""
+    found = pc.list_flatten(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
+    if not len(found):
+        return None
+    feature, toxic, clean = (pc.struct_field(found, c).to_numpy(zero_copy_only=False) for c in ("feature", "toxic", "clean"))
+    feature, first = np.unique(feature, return_index=True)
+    return Counts.of(feature, toxic[first], clean[first])
+
+
+def word_scores(chain: list[np.ndarray], model: Counts, own: np.ndarray | None = None, rare: Counts | None = None) -> np.ndarray:
     """Log-odds over the base rate, minus the drift. ``own``: the class of each word's own document
-    when that document was counted, so that it does not speak for itself."""
-    bins = model.counts.shape[1]
+    when that document was counted, so that it does not speak for itself. ``rare``: counts of features
+    that the model does not hold."""
     base = (model.toxic + 0.5) / (model.toxic + model.clean + 1.0)
     p = np.full(len(chain[0]), base)
     for h in chain:
-        a, b = _bins(h, bins)
-        seen = np.minimum(model.counts[0][a], model.counts[1][b]).astype(np.float64)
+        seen, missing = model.seen(h)
+        if rare is not None:
+            seen[missing] = rare.seen(h[missing])[0]
         if own is not None:
             seen[np.arange(len(own)), own] -= 1.0
             np.maximum(seen, 0.0, out=seen)
@@ -219,7 +281,7 @@ def surprise(segments: list[float], n: int, rate: float, k: float) -> float:
     return min(max(best, 0.0), 50.0)
 
 
-def _scan(data: np.ndarray, at: np.ndarray, model: Sketch, own: np.ndarray | None = None):
+def _scan(data: np.ndarray, at: np.ndarray, model: Counts, own: np.ndarray | None = None, rare: Counts | None = None):
     """For each row: starts and ends of its words, their scores and segments."""
     for low, high in W.blocks(at):
         base = at[low]
@@ -229,7 +291,7 @@ def _scan(data: np.ndarray, at: np.ndarray, model: Sketch, own: np.ndarray | Non
         each = None
         if own is not None:
             each = np.repeat(own[low:high], np.diff(first))
-        scores = word_scores(chain, model, each)
+        scores = word_scores(chain, model, each, rare)
         up = np.flatnonzero(scores > 0)
         if len(up):
             row = np.searchsorted(first, up, "right")
@@ -247,12 +309,13 @@ def _scan(data: np.ndarray, at: np.ndarray, model: Sketch, own: np.ndarray | Non
 
 def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> Model:
     """Counts, extreme-value law and logistic calibration from all labelled rows that are not held
-    out. Without any toxic or any clean label every score is the share of toxic labels."""
+    out. Without any toxic or any clean label every score is the share of toxic labels. ``bins``: how
+    many features' counts tasks may hold."""
     rows = labelled(docs, labels)
-    counts = sketch(rows, bins)
+    counts, rest = counted(rows, bins)
     total = counts.toxic + counts.clean
     base = (counts.toxic + 0.5) / (total + 1.0)
-    flat = Model(counts, 1.0, 1.0, 0.0, math.log(base / (1 - base)))
+    flat = Model(counts, 1.0, 1.0, 0.0, math.log(base / (1 - base)), rest)
     if not counts.toxic or not counts.clean:
         return flat
     shared = docs.sparkSession.sparkContext.broadcast(counts)
@@ -265,7 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> Model:
             own = (np.asarray(batch.column(1).to_numpy(zero_copy_only=False)) > 0).astype(np.int64)
             seen = np.zeros(steps, np.int64)
             toxic, n, segments = [], [], []
-            for row, starts, _, scores in _scan(data, at, shared.value, own):
+            for row, starts, _, scores in _scan(data, at, shared.value, own, _rare(batch.column(2))):
                 if not own[row]:
                     bin_ = np.clip(((scores - LOW) / STEP).astype(np.int64), 0, steps - 1)
                     seen += np.bincount(bin_, minlength=steps)
@@ -284,7 +347,7 @@ def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> Model:
                 names=["toxic", "n", "segments", "step"],
             )
 
-    looked = written(rows.mapInArrow(look, "toxic int, n long, segments array<double>, step int"))
+    looked = written(with_rare(rows, counts, rest).mapInArrow(look, "toxic int, n long, segments array<double>, step int"))
     histogram = looked.where("step is not null").groupBy("step").agg(F.sum("n").alias("n")).collect()  # <= 480 rows
     rate = karlin_root({LOW + (r.step + 0.5) * STEP: r.n for r in histogram})
 
@@ -305,7 +368,7 @@ def fit(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> Model:
     points = weighed.groupBy("z", "toxic").agg(F.count(F.lit(1)).alias("n"))  # <= 501 values of z
     pairs = [(r.z, r.toxic, r.n) for r in points.collect()]
     slope, offset = logistic(pairs)
-    return Model(counts, rate, k, slope, offset)
+    return Model(counts, rate, k, slope, offset, rest)
 
 
 def karlin_root(histogram: dict[float, int]) -> float:
@@ -350,28 +413,29 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, toxicity ``score`` (0 to 1) and the significant toxic ``passages`` (code point
     spans with their segment scores) of every document. NULL and empty texts have no words: the score
     of a text without any evidence, and no passages."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, rest=None))
 
     def score(batches):
         for batch in batches:
             data, at = W.buffers(batch.column(1))
-            scores, found = judge(data, at, shared.value)
+            scores, found = judge(data, at, shared.value, _rare(batch.column(2)))
             yield pa.record_batch(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array(found, _PASSAGE_TYPE)],
                 names=["doc_id", "score", "passages"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, score double, passages {PASSAGES}")
+    texts = with_rare(docs.select("doc_id", "text"), model.counts, model.rest)
+    return texts.mapInArrow(score, f"doc_id {kind}, score double, passages {PASSAGES}")
 
 
 _PASSAGE_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
 
-def judge(data: np.ndarray, at: np.ndarray, model: Model) -> tuple[list[float], list[list[dict]]]:
+def judge(data: np.ndarray, at: np.ndarray, model: Model, rare: Counts | None = None) -> tuple[list[float], list[list[dict]]]:
     """Scores and significant passages of the rows of a buffer."""
     scores, found = [], []
-    for row, starts, ends, each in _scan(data, at, model.sketch):
+    for row, starts, ends, each in _scan(data, at, model.counts, rare=rare):
         segments = maximal_segments(each)
         n = len(starts)
         z = surprise([value for _, _, value in segments], n, model.rate, model.k)
@@ -390,13 +454,14 @@ def judge(data: np.ndarray, at: np.ndarray, model: Model) -> tuple[list[float],
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The documents that score below ``threshold``, with their columns unchanged."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, rest=None))
     at_text = docs.columns.index("text")
 
     def keep(batches):
         for batch in batches:
             data, at = W.buffers(batch.column(at_text))
-            scores, _ = judge(data, at, shared.value)
-            yield batch.filter(pa.array(np.asarray(scores) < threshold, pa.bool_()))
+            scores, _ = judge(data, at, shared.value, _rare(batch.column(batch.num_columns - 1)))
+            kept = batch.select(list(range(batch.num_columns - 1)))
+            yield kept.filter(pa.array(np.asarray(scores) < threshold, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return with_rare(docs, model.counts, model.rest).mapInArrow(keep, docs.schema)

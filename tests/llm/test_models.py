@@ -91,6 +91,29 @@ def test_odd_rows_for_toxicity(spark, toxic):
     assert {r.score for r in toxicity.passages(odd_docs(spark), flat).collect()} == {0.5}
 
 
+def test_counts_of_a_large_vocabulary_are_exact(spark):
+    """Bound far below the vocabulary: no feature gets the counts of another, and no score changes."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(3000):x}q{rng.randrange(9)}" for _ in range(40)) + (" vile" * (i % 3 == 0)) for i in range(300)]
+    docs = of_texts(spark, [*texts, None, "", texts[0]])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    rows = toxicity.labelled(docs, labels)
+    counts, rest = toxicity.counted(rows, 64)
+    assert len(counts.features) <= 64 < rest.count()
+    seen = {}
+    for r in rows.collect():
+        for h in np.unique(np.concatenate(toxicity._features(*words.buffers(pa.array([r.text])))[2])).view(np.int64).tolist():
+            seen.setdefault(h, [0, 0])[r.toxic] += 1
+    held = dict(zip(counts.features.view(np.int64).tolist(), counts.counts.tolist(), strict=True))
+    assert held | {r.feature: [r.clean, r.toxic] for r in rest.collect()} == seen
+    scores = []
+    for bins in (64, toxicity.BINS):
+        model = toxicity.fit(docs, labels, bins=bins)
+        scores.append({r.doc_id: r.score for r in toxicity.passages(docs, model).collect()})
+        assert len(scores[-1]) == 303 and toxicity.without_toxic(docs, model).count() == sum(v < 0.5 for v in scores[-1].values())
+    assert scores[0] == pytest.approx(scores[1], abs=1e-6)
+
+
 def counts_of(text):
     import re
 
