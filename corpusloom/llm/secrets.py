@@ -87,54 +87,86 @@ def unfolded(raw: bytes) -> bytes | None:
     return out or None
 
 
-def _pieces(text: str, run: re.Match, pattern: re.Pattern, value: Callable[[re.Match], bytes | str]):
-    """A run with its escapes replaced, and the (start, end) in ``text`` behind each new code point."""
-    raw = bytearray()
-    origin: list[Span] = []  # per byte
-    at = run.start()
-
-    def put(piece: bytes, start: int, end: int) -> None:
-        raw.extend(piece)
-        origin.extend([(start, end)] * len(piece))
-
-    for m in pattern.finditer(text, run.start(), run.end()):
-        for i in range(at, m.start()):
-            put(text[i].encode("utf-8", "surrogatepass"), i, i + 1)
-        new = value(m)
-        put(new if isinstance(new, bytes) else new.encode("utf-8", "surrogatepass"), m.start(), m.end())
-        at = m.end()
-    for i in range(at, run.end()):
-        put(text[i].encode("utf-8", "surrogatepass"), i, i + 1)
-    out = raw.decode("utf-8", "replace")
-    if "\ufffd" in out:
-        return None
+Piece = tuple[str | None, int]
+
+
+def _pieces(text: str, run: re.Match, pattern: re.Pattern, decode: Callable[[list[re.Match]], Iterator[Piece]]):
+    """A run with its escapes replaced, and the (start, end) in ``text`` behind each new code point;
+    None if none of them decodes.
+
+    ``decode`` turns adjacent escapes into characters, each with the number of escapes behind it. An
+    escape that gives no character (None) stays as it is written.
+    """
+    out: list[str] = []
     spans: list[Span] = []
-    k = 0
-    for c in out:
-        size = len(c.encode("utf-8"))
-        spans.append((origin[k][0], origin[k + size - 1][1]))
-        k += size
-    return out, spans
+
+    def keep(start: int, end: int) -> None:
+        out.extend(text[start:end])
+        spans.extend((i, i + 1) for i in range(start, end))
+
+    at, decoded = run.start(), False
+    escapes = list(pattern.finditer(text, run.start(), run.end()))
+    low = 0
+    while low < len(escapes):
+        high = low + 1
+        while high < len(escapes) and escapes[high].start() == escapes[high - 1].end():
+            high += 1
+        keep(at, escapes[low].start())
+        for c, size in decode(escapes[low:high]):
+            start, end = escapes[low].start(), escapes[low + size - 1].end()
+            if c is None:
+                keep(start, end)
+            else:
+                out.append(c)
+                spans.append((start, end))
+                decoded = True
+            low += size
+        at = escapes[high - 1].end()
+    keep(at, run.end())
+    return ("".join(out), spans) if decoded else None
 
 
 PERCENT = re.compile(r"%([0-9A-Fa-f]{2})")
 
 
-def _escape(m: re.Match) -> str:
-    digits = next(g for g in m.groups() if g is not None)
-    code = int(digits, 10 if m[4] is not None else 16)
-    return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
+def _percent(escapes: list[re.Match]) -> Iterator[Piece]:
+    """UTF-8 out of percent escapes."""
+    raw = bytes(int(m[1], 16) for m in escapes)
+    at = 0
+    while at < len(raw):
+        lead = raw[at]
+        size = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+        try:
+            c, size = raw[at : at + size].decode("utf-8"), min(size, len(raw) - at)
+        except UnicodeDecodeError:
+            c, size = None, 1
+        yield c, size
+        at += size
+
+
+def _unicode(escapes: list[re.Match]) -> Iterator[Piece]:
+    """Characters out of Unicode escapes; the two halves of a surrogate pair are one."""
+    codes = [int(next(g for g in m.groups() if g is not None), 10 if m[4] is not None else 16) for m in escapes]
+    at = 0
+    while at < len(codes):
+        code = codes[at]
+        if 0xD800 <= code < 0xDC00 and at + 1 < len(codes) and 0xDC00 <= codes[at + 1] < 0xE000:
+            yield chr(0x10000 + (code - 0xD800) * 0x400 + codes[at + 1] - 0xDC00), 2
+            at += 2
+            continue
+        yield (chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None), 1
+        at += 1
 
 
 def unwrapped(text: str) -> Iterator[tuple[str, Place]]:
     """Every layer directly inside ``text``, with the way back to spans of ``text``."""
     escaped = []
     if "%" in text:
-        escaped += [(m, PERCENT, lambda e: bytes([int(e[1], 16)])) for m in URL_RUN.finditer(text)]
+        escaped += [(m, PERCENT, _percent) for m in URL_RUN.finditer(text)]
     if "\\" in text or "&#" in text:
-        escaped += [(m, ESCAPES, _escape) for m in ESCAPED_RUN.finditer(text)]
-    for run, pattern, value in escaped:
-        got = _pieces(text, run, pattern, value)
+        escaped += [(m, ESCAPES, _unicode) for m in ESCAPED_RUN.finditer(text)]
+    for run, pattern, decode in escaped:
+        got = _pieces(text, run, pattern, decode)
         if got:
             out, spans = got
             yield out, lambda s, e, spans=spans: (spans[s][0], spans[e - 1][1])
