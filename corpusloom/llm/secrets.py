@@ -35,6 +35,13 @@ URL_RUN = re.compile(r"(?:[A-Za-z0-9._~+/=:?&;,!*'()@$-]*%[0-9A-Fa-f]{2})+[A-Za-
 ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 ESCAPED_RUN = re.compile(rf"(?:[!-~]*?(?:{ESCAPES.pattern}))+[!-~]*".replace("([", "(?:["))
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+NEXT_LINE = re.compile(r"\r?\n[\x20\t]*([A-Za-z0-9+/_-]+={0,2})")
+#: Text inside other bytes; no finding is shorter, and none of its wrapped forms.
+STRETCH = re.compile(
+    rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){16,}"
+)
+PACKED = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
 #: A compressed stretch may unfold to so many bytes; beyond that it is left packed, as a safeguard
 #: against decompression bombs.
 UNFOLDED = 1 << 26
@@ -170,32 +177,72 @@ def unwrapped(text: str) -> Iterator[tuple[str, Place]]:
         if got:
             out, spans = got
             yield out, lambda s, e, spans=spans: (spans[s][0], spans[e - 1][1])
+    done = 0
     for m in BASE64_RUN.finditer(text):
-        body = m[0].rstrip("=")
-        if len(body) % 4 == 1:
+        if m.start() < done:
             continue
+        lines = _lines(text, m)
+        done = lines[-1][1]
+        got = list(_base64(text, lines))
+        if not got and len(lines) > 1:  # the lines do not belong together
+            got = [layer for line in lines if line[1] - line[0] >= 16 for layer in _base64(text, [line])]
+        yield from got
+
+
+def _lines(text: str, run: re.Match) -> list[Span]:
+    """A base64 run with the lines that go on with it: all between the first and the last are full."""
+    lines = [run.span()]
+    before = text[text.rfind("\n", 0, run.start()) + 1 : run.start()]
+    full = None if before.strip(" \t") else run.end() - run.start()
+    while text[lines[-1][1] - 1] != "=":
+        start, end = lines[-1]
+        m = NEXT_LINE.match(text, end)
+        if m is None or full is not None and (end - start != full and len(lines) > 1 or len(m[1].rstrip("=")) > full):
+            break
+        lines.append(m.span(1))
+        full = full or len(m[1])
+    return lines
+
+
+def _base64(text: str, lines: list[Span]) -> Iterator[tuple[str, Place]]:
+    """Layers in the base64 of ``lines``: all of it if it decodes from the first character on, else
+    whatever texts and compressed streams there are at any of the four alignments."""
+    body = "".join(text[a:b] for a, b in lines).rstrip("=").replace("-", "+").replace("_", "/")
+    origin = [i for a, b in lines for i in range(a, b)]
+    whole = lines[0][0], lines[-1][1]
+
+    def place(shift: int, first: int, last: int) -> Span:
+        # three bytes come from four characters
+        end = min(shift - (-last * 4 // 3), len(body))
+        return origin[shift + first // 3 * 4 + first % 3], origin[end - 1] + 1
+
+    def layer(out: str, shift: int, low: int) -> tuple[str, Place]:
+        ends = [low]
+        for c in out:
+            ends.append(ends[-1] + len(c.encode("utf-8")))
+        return out, lambda s, e: place(shift, ends[s], ends[e])
+
+    for shift in range(4):
+        part = body[shift:]
+        part = part[: len(part) - (len(part) % 4 == 1)]
         try:
-            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
+            raw = base64.b64decode(part + "=" * (-len(part) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        packed = unfolded(raw)
-        if packed is not None:
-            out = readable(packed)
+        if shift == 0 and len(part) == len(body):
+            packed = unfolded(raw)
+            out = readable(raw if packed is None else packed)
             if out:
-                yield out, lambda s, e, m=m: (m.start(), m.end())
-            continue
-        out = readable(raw)
-        if out:
-            ends = [0]
-            for c in out:
-                ends.append(ends[-1] + len(c.encode("utf-8")))
-
-            def back(s: int, e: int, m: re.Match = m, ends: list[int] = ends) -> Span:
-                # three bytes come from four characters
-                first, last = ends[s], ends[e]
-                return m.start() + first // 3 * 4 + first % 3, min(m.end(), m.start() + -(-last * 4 // 3))
-
-            yield out, back
+                yield layer(out, 0, 0) if packed is None else (out, lambda s, e: whole)
+                return
+        for m in STRETCH.finditer(raw):
+            yield layer(m[0].decode("utf-8"), shift, m.start())
+        for m in PACKED.finditer(raw):
+            packed = unfolded(raw[m.start() :])
+            out = packed and readable(packed)
+            if out:
+                start, end = place(shift, m.start(), len(raw))
+                yield out, lambda s, e, start=start, end=end: (start, end)
 
 
 def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int, int]]]:
