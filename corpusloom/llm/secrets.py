@@ -43,8 +43,12 @@ STRETCH = re.compile(
 )
 PACKED = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
 #: A compressed stretch may unfold to so many bytes; beyond that it is left packed, as a safeguard
-#: against decompression bombs.
+#: against decompression bombs, and reported as UNSCANNED.
 UNFOLDED = 1 << 26
+UNSCANNED = "unscanned"
+ORDER = (*KINDS, UNSCANNED)
+#: zstd has no output limit: input goes in by so many bytes, which unfold to 8 MB at most.
+STEP = 256
 
 Span = tuple[int, int]
 Place = Callable[[int, int], Span]
@@ -77,21 +81,41 @@ def readable(raw: bytes) -> str | None:
     return text if odd * 50 <= len(text) else None
 
 
-def unfolded(raw: bytes) -> bytes | None:
-    """Content of a gzip, zlib or zstd stream."""
+def _stream(raw: bytes, most: int) -> tuple[bytes, int] | None:
+    """Content of the gzip, zlib or zstd stream at the start of ``raw``, up to a little over ``most``
+    bytes, and the bytes it takes up; None if there is none."""
     try:
         if raw[:2] == b"\x1f\x8b":
-            out = zlib.decompressobj(31).decompress(raw, UNFOLDED)
+            d = zlib.decompressobj(31)
         elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(raw) as r:
-                out = r.read(UNFOLDED)
+            d = zstandard.ZstdDecompressor().decompressobj()
+            out, at = bytearray(), 0
+            while at < len(raw) and not d.eof and len(out) <= most:
+                out += d.decompress(raw[at : at + STEP])
+                at += STEP
+            return bytes(out), min(at, len(raw)) - len(d.unused_data)
         elif raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
-            out = zlib.decompressobj().decompress(raw, UNFOLDED)
+            d = zlib.decompressobj()
         else:
             return None
+        return d.decompress(raw, most + 1), len(raw) - len(d.unused_data)
     except (zlib.error, gzip.BadGzipFile, zstandard.ZstdError, EOFError):
         return None
-    return out or None
+
+
+def unfolded(raw: bytes) -> tuple[bytes | None, int] | None:
+    """Content of the gzip, zlib or zstd streams at the start of ``raw``, one behind the other, and the
+    bytes they take up. The content is None when it is over UNFOLDED bytes."""
+    out, used = bytearray(), 0
+    while used < len(raw):
+        got = _stream(raw[used:], UNFOLDED - len(out))
+        if got is None or not got[1]:
+            break
+        out += got[0]
+        used += got[1]
+        if len(out) > UNFOLDED:
+            return None, len(raw)
+    return (bytes(out), used) if out else None
 
 
 Piece = tuple[str | None, int]
@@ -165,8 +189,9 @@ def _unicode(escapes: list[re.Match]) -> Iterator[Piece]:
         at += 1
 
 
-def unwrapped(text: str) -> Iterator[tuple[str, Place]]:
-    """Every layer directly inside ``text``, with the way back to spans of ``text``."""
+def unwrapped(text: str) -> Iterator[tuple[str | None, Place]]:
+    """Every layer directly inside ``text``, with the way back to spans of ``text``. None for one that is
+    too long to scan."""
     escaped = []
     if "%" in text:
         escaped += [(m, PERCENT, _percent) for m in URL_RUN.finditer(text)]
@@ -204,7 +229,7 @@ def _lines(text: str, run: re.Match) -> list[Span]:
     return lines
 
 
-def _base64(text: str, lines: list[Span]) -> Iterator[tuple[str, Place]]:
+def _base64(text: str, lines: list[Span]) -> Iterator[tuple[str | None, Place]]:
     """Layers in the base64 of ``lines``: all of it if it decodes from the first character on, else
     whatever texts and compressed streams there are at any of the four alignments."""
     body = "".join(text[a:b] for a, b in lines).rstrip("=").replace("-", "+").replace("_", "/")
@@ -231,22 +256,33 @@ def _base64(text: str, lines: list[Span]) -> Iterator[tuple[str, Place]]:
             continue
         if shift == 0 and len(part) == len(body):
             packed = unfolded(raw)
-            out = readable(raw if packed is None else packed)
-            if out:
-                yield layer(out, 0, 0) if packed is None else (out, lambda s, e: whole)
+            out = readable(raw) if packed is None else packed[0] and readable(packed[0])
+            if packed is None and out:
+                yield layer(out, 0, 0)
+                return
+            if packed is not None and packed[1] == len(raw) and (out or packed[0] is None):
+                yield out, lambda s, e: whole
                 return
         for m in STRETCH.finditer(raw):
             yield layer(m[0].decode("utf-8"), shift, m.start())
+        upto = 0
         for m in PACKED.finditer(raw):
+            if m.start() < upto:
+                continue
             packed = unfolded(raw[m.start() :])
-            out = packed and readable(packed)
-            if out:
-                start, end = place(shift, m.start(), len(raw))
+            if packed is None:
+                continue
+            out = packed[0] and readable(packed[0])
+            if out or packed[0] is None:
+                upto = m.start() + packed[1]
+                start, end = place(shift, m.start(), upto)
                 yield out, lambda s, e, start=start, end=end: (start, end)
 
 
 def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int, int]]]:
-    """Base findings of the text itself, and those of inner layers with their depth, as spans of it."""
+    """Base findings of the text itself, and those of inner layers with their depth, as spans of it.
+
+    A layer that is too long to scan is listed with the kind UNSCANNED."""
     base = list(matches(text))
     inner: dict[tuple[str, int, int], int] = {}
     known = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
@@ -257,6 +293,9 @@ def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int
             for kind, s, e in matches(layer):
                 inner.setdefault((kind, *place(s, e)), depth)
         for out, back in unwrapped(layer):
+            if out is None:
+                inner.setdefault((UNSCANNED, *place(*back(0, 0))), depth + 1)
+                continue
             mark = hashlib.sha256(out.encode("utf-8", "surrogatepass")).digest()
             # the same content elsewhere in the text is a finding elsewhere: only ancestors make a cycle
             start, end = place(*back(0, len(out)))
@@ -266,11 +305,11 @@ def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int
             known.add(here)
             work.append((out, lambda s, e, p=place, b=back: p(*b(s, e)), depth + 1))
     taken = set(base)
-    return base, sorted(((k, s, e, d) for (k, s, e), d in inner.items() if (k, s, e) not in taken), key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+    return base, sorted(((k, s, e, d) for (k, s, e), d in inner.items() if (k, s, e) not in taken), key=lambda x: (x[1], ORDER.index(x[0]), x[2]))
 
 
 def _joined(spans) -> str:
-    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (x[1], KINDS.index(x[0]), x[2])))
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (x[1], ORDER.index(x[0]), x[2])))
 
 
 FOUND = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("depth", pa.int32())]))

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 from corpusloom.llm import pii, secrets, tokenstore
 
@@ -110,6 +111,23 @@ def test_exact_place_inside_wrapped_base64():
     assert kind == "access" and len(inside) <= 28 and any(b"ABCDEFGHIJKLM" in x for x in near)
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, zstandard.ZstdCompressor().compress])
+def test_later_members_are_unfolded(pack):
+    parts = [pack(random_lines(3).encode()), pack(random_lines(4).encode() + SECRET.encode())]
+    for raw in (b"".join(parts), b"".join(parts) + b"\0\0 and then"):
+        assert any(x[0] == "assign" for x in secrets.findings(b64(raw))[1])
+    assert any(x[0] == "assign" for x in secrets.findings(b64(parts[0] + SECRET.encode()))[1])
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, zstandard.ZstdCompressor().compress])
+def test_too_long_layers_are_reported(pack, monkeypatch):
+    monkeypatch.setattr(secrets, "UNFOLDED", 1000)
+    wrapped = b64(pack((random_lines(3) + SECRET).encode() + b" " * 5000))
+    assert secrets.findings("x " + wrapped)[1] == [("unscanned", 2, 2 + len(wrapped), 1)]
+    fits = b64(pack(SECRET.encode().ljust(1000)))
+    assert [x[0] for x in secrets.findings(fits)[1]] == ["assign"]
+
+
 def test_cycles_end():
     assert secrets.findings("%25" * 50)[1] == []
     deep = SECRET
