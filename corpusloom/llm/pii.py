@@ -4,8 +4,9 @@ Strict patterns give base spans, which always stay. Looser patterns give further
 (strict patterns, gazetteers, context words, and rules that speak against) vote on every candidate, base
 ones included, or abstain. Expectation-maximisation over all candidates of the table estimates how
 reliable each labeler is, without any hand label. The resulting probabilities train the final span
-classifier, a logistic regression over the shape and surroundings of a span, and the candidates it
-accepts are added to the base spans.
+classifier, a logistic regression over the shape and surroundings of a span. Votes against a candidate
+lower its log-odds by what EM found them to be worth, none of them is a veto; the candidates that are
+still accepted are added to the base spans.
 
 Votes and features are discrete, so the whole table is summed up by groupBy into one row per distinct
 combination; their number is bounded by the definition of the features, not by the data.
@@ -44,7 +45,12 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "mobile", "cell", "fax", "whatsapp", "anruf", "handy", "appel", "llam", "móvil"),
     "name": ("name", "called", "dear", "sincerely", "heißt", "appelle", "llama", "born", "lives"),
 }
-AGAINST = ("order", "isbn", "version", "invoice", "serial", "part no", "ticket", "page", "bestell", "rechnung", "facture", "pedido", "€", "$", "usd", "eur", "%")
+#: Whole words; the German ones with all that their compounds go on with.
+AGAINST = re.compile(
+    r"(?<!\w)(?:orders?|isbn|versions?|invoices?|serial|part no|tickets?|pages?|bestell\w*|rechnung\w*|factures?|pedidos?|usd|eur|euros?)(?!\w)|[€$%]"
+)
+CUT_WORD = re.compile(r"^\w+")
+CUT_END = re.compile(r"\w+$")
 GAZETTEER = {
     "email": ("com", "org", "net", "edu", "gov", "de", "fr", "es", "uk", "io", "info"),
     "name": ("james", "john", "robert", "mary", "anna", "maria", "peter", "hans", "thomas", "michael", "paul", "jean", "pierre", "marie", "luis", "jose", "juan", "carmen", "david", "sarah", "laura", "julia"),
@@ -117,10 +123,20 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     return out
 
 
+def _word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
 def votes(text: str, kind: str, start: int, end: int, base: bool) -> tuple[int, ...]:
     """One vote per labeler: 1 for, -1 against, 0 none."""
     span = text[start:end]
-    around = (text[max(0, start - REACH) : start] + " " + text[end : end + REACH // 2]).lower()
+    left, right = text[max(0, start - REACH) : start].lower(), text[end : end + REACH // 2].lower()
+    around = left + " " + right
+    # words that the reach cuts are not whole
+    if start > REACH and _word(text[start - REACH - 1]):
+        left = CUT_WORD.sub("", left)
+    if end + REACH // 2 < len(text) and _word(text[end + REACH // 2]):
+        right = CUT_END.sub("", right)
     digits = _digits(span)
     strict = 1 if base else -1 if kind == "card" and not luhn(digits) else 0
     known = 0
@@ -131,7 +147,7 @@ def votes(text: str, kind: str, start: int, end: int, base: bool) -> tuple[int,
     elif kind == "card":
         known = 1 if digits[:1] in "3456" and len(digits) in (15, 16) else -1
     context = 1 if any(w in around for w in CONTEXT[kind]) else 0
-    against = -1 if any(w in around for w in AGAINST) else 0
+    against = -1 if AGAINST.search(left + " " + right) else 0
     before, after = text[start - 1 : start], text[end : end + 1]
     glued = before.isalnum() or after.isalnum() or before in "_/=#" and before != "" or len(set(digits)) == 1
     return strict, known, context, against, -1 if glued else 0
@@ -156,8 +172,13 @@ class Model:
     reliability: dict[str, float]
     threshold: float = 0.5
 
-    def probability(self, features: list[str]) -> float:
+    def probability(self, features: list[str], cast: tuple[int, ...] = ()) -> float:
+        """The classifier's, with the votes against the span weighed by their labelers' reliability."""
         z = sum(self.weights.get(f, 0.0) for f in features)
+        for labeler, vote in zip(LABELERS, cast, strict=False):
+            if vote < 0:
+                right = self.reliability.get(labeler, 0.5)
+                z -= np.log(right / (1 - right))
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
@@ -254,9 +275,8 @@ def spans_of(text: str, model: Model) -> tuple[list, list]:
             base.append((kind, s, e))
             continue
         cast = votes(text, kind, s, e, False)
-        q = model.probability(_feature_names(shape(text, kind, s, e), cast[2]))
-        # a span that no labeler speaks for is never added
-        if q >= model.threshold and max(cast) > 0 and min(cast) >= 0:
+        q = model.probability(_feature_names(shape(text, kind, s, e), cast[2]), cast)
+        if q >= model.threshold:
             added.append((kind, s, e, q))
     return base, added
 

@@ -197,6 +197,24 @@ def test_weak_supervision_adds_what_labelers_agree_on(spark):
     assert not any(rows[i] for i in range(68))
 
 
+def test_votes_against_are_weighed(spark):
+    texts = [f"mail user{i}@host{i % 7}.{'com' if i % 3 else 'it'} or call +49 30 123 45{i:02d} today" for i in range(90)]
+    texts += ["write to joe (at) mail.example.it please", "the border to Europe: 030 123 4567 is there"]
+    docs = of_texts(spark, texts)
+    model = pii.fit(docs)
+    rows = {r.doc_id: [(x.kind, texts[r.doc_id][x.start : x.end]) for x in r.found] for r in pii.scanned(docs, model).collect()}
+    assert rows[90] == [("email", "joe (at) mail.example.it")] and rows[91] == [("phone", "030 123 4567")]
+    sure = pii.Model({"bias": 4.6}, dict(zip(pii.LABELERS, (0.99, 0.9, 0.8, 0.6, 0.8), strict=True)))
+    assert sure.probability(["bias"], (0, 0, 0, -1, 0)) > 0.98 and sure.probability(["bias"], (-1, -1, 0, 0, 0)) < 0.2
+
+
+def test_words_against_are_whole():
+    votes = lambda text: pii.votes(text, "phone", text.index("030"), text.index("030") + 12, False)[3]
+    assert votes("the border of Europe 030 123 4567") == votes("homepager 030 123 4567") == 0
+    assert votes("b" + "order " + "x" * 17 + " 030 123 4567") == 0
+    assert votes("order 030 123 4567") == votes("030 123 4567 EUR") == votes("Bestellnummer 030 123 4567") == votes("030 123 4567€") == -1
+
+
 def test_em_recovers_accuracies():
     rng = random.Random(3)
     true = [0.95, 0.8, 0.7, 0.9, 0.6]
