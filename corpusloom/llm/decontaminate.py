@@ -5,10 +5,11 @@ item's L words (insertions, deletions, replacements of words; letter case and pu
 
 The CGK embedding reads a word sequence with a pointer that moves on, at each of about 2 L output steps,
 by a random bit of (step, word); it turns edit distance into Hamming distance. Each hash table uses its
-own embedding and compares a few sampled output positions; the number of tables is raised until
-simulated items with k random edits are found with the target recall. Windows of the items' lengths are
-looked up, and every (window, item) match is verified by an alignment of the item against the
-surrounding words.
+own embedding and compares a few sampled output positions; for each item length the number of tables is
+raised until simulated items with k random edits are found with the target recall. Windows of the items'
+lengths are looked up, and every (window, item) match is verified by an alignment of the item against the
+surrounding words. For lengths that would need more than MOST_TABLES, every (window, item) that passes the
+count filter is verified.
 
 Before a window is embedded it must pass a lossless count filter: an item within k edits shares at least
 L - q + 1 - (q + 1) k of its word q-grams with an item-sized window. The items are taken in blocks of a
@@ -37,6 +38,8 @@ BLOCK = 20_000
 SAMPLES = 3
 MOST_TABLES = 64
 RECALL = 0.98
+#: From the first length of so many words that needs too many tables, longer ones are not tried.
+FAR = 64
 
 _GAPS = np.ones(256, bool)
 _GAPS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -108,19 +111,21 @@ def _edited(item: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 
 
 def tables_for(items: list[np.ndarray], trials: int = 200) -> int:
-    """Tables needed for the target recall on simulated items with the most edits."""
-    rng = np.random.default_rng(9)
-    found = np.zeros(trials, bool)
+    """Tables needed for the target recall on simulated copies, with the most edits, of items of one
+    length; 0 when MOST_TABLES are not enough."""
+    length = len(items[0])
+    rng = np.random.default_rng([9, length])
     pairs = [items[int(rng.integers(len(items)))] for _ in range(trials)]
-    edits = [_edited(p, allowed(len(p)), rng) for p in pairs]
+    edits = [_edited(p, allowed(length), rng) for p in pairs]
+    both = np.stack([*pairs, *edits])
+    found = np.zeros(trials, bool)
     for table in range(MOST_TABLES):
-        for t in np.flatnonzero(~found):
-            both = np.stack([pairs[t], edits[t]])
-            a, b = embedded(both, table, sampled(len(pairs[t]), table))
-            found[t] = a == b
+        left = np.flatnonzero(~found)
+        a, b = np.split(embedded(both[np.concatenate([left, left + trials])], table, sampled(length, table)), 2)
+        found[left] = a == b
         if found.mean() >= RECALL:
             return table + 1
-    return MOST_TABLES
+    return 0
 
 
 @dataclass
@@ -129,19 +134,23 @@ class Index:
 
     names: list
     items: list[np.ndarray]
-    tables: int
+    tables: dict[int, int]  # by item length; 0: verified without tables
     lookup: dict = field(default_factory=dict)  # (length, table) -> sorted keys, item numbers
     grams: dict = field(default_factory=dict)  # q -> bitmap, sorted grams, offsets, item numbers
 
     @classmethod
     def of(cls, names: list, items: list[np.ndarray]) -> Index:
-        index = cls(names, items, tables_for(items))
+        index = cls(names, items, {})
         by_length = defaultdict(list)
         for i, item in enumerate(items):
             by_length[len(item)].append(i)
-        for length, members in by_length.items():
+        far = False
+        for length, members in sorted(by_length.items()):
             rows = np.stack([items[i] for i in members])
-            for table in range(index.tables):
+            # recall falls with length, and what goes without tables is complete
+            index.tables[length] = 0 if far else tables_for(list(rows))
+            far = far or length >= FAR and not index.tables[length]
+            for table in range(index.tables[length]):
                 keys = embedded(rows, table, sampled(length, table))
                 order = np.argsort(keys, kind="stable")
                 index.lookup[length, table] = keys[order], np.array(members)[order]
@@ -164,6 +173,8 @@ class Index:
         lengths = np.array([len(x) for x in self.items])
         row_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
         windows = defaultdict(list)
+        candidates = set()
+        direct = np.array([not self.tables[n] for n in lengths.tolist()])
         for q, (bitmap, values, offsets, item) in self.grams.items():
             if len(h) < q:
                 continue
@@ -185,9 +196,13 @@ class Index:
             end = np.minimum(pos + size - q, first[row_of[pos] + 1] - 1) if len(pos) else pos
             many = np.searchsorted(place, which * wide + end, "right") - np.arange(len(pos))
             enough = many >= np.maximum([need(n, q) for n in size], 1) if len(pos) else np.zeros(0, bool)
-            for p, n in set(zip(pos[enough].tolist(), size[enough].tolist(), strict=True)):
+            pos, which, size = pos[enough], which[enough], size[enough]
+            # the alignment's surroundings hold every window that this gram is the first of
+            plain = direct[which]
+            candidates.update(zip(row_of[pos[plain]].tolist(), which[plain].tolist(), pos[plain].tolist(), strict=True))
+            pos, size = pos[~plain], size[~plain]
+            for p, n in set(zip(pos.tolist(), size.tolist(), strict=True)):
                 windows[n].append(p)
-        candidates = set()
         for n, starts in windows.items():
             q = gram_size(n)
             spread = np.unique((np.array(starts)[:, None] - np.arange(n - q + 1)[None, :]).reshape(-1))
@@ -199,7 +214,7 @@ class Index:
             cells = spread[:, None] + np.arange(n)[None, :]
             inside = cells < first[row_of[spread] + 1][:, None]
             rows = np.where(inside, h[np.minimum(cells, len(h) - 1)], _PAD)
-            for table in range(self.tables):
+            for table in range(self.tables[n]):
                 keys, members = self.lookup[n, table]
                 mine = embedded(rows, table, sampled(n, table))
                 low, high = np.searchsorted(keys, mine), np.searchsorted(keys, mine, "right")

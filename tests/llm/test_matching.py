@@ -149,6 +149,31 @@ def test_leaks_of_odd_rows(spark):
     assert decontaminate.without_leaks(docs, bench.where("false")).count() == 11
 
 
+def test_long_items_among_short_ones_are_found():
+    """Items with the most edits: every length has the target recall, whatever else is in the block."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    items = [rng.integers(1, 1 << 62, n).astype(np.uint64) for n in [12] * 400 + [100, 150, 256] * 8]
+    index = decontaminate.Index.of(list(range(len(items))), items)
+    assert index.tables[12] > 0 and index.tables[256] == 0
+    found = total = 0
+    for m in range(400, len(items)):
+        words = items[m].tolist()
+        for _ in range(decontaminate.allowed(len(words))):
+            at, kind = int(rng.integers(len(words))), int(rng.integers(3))
+            if kind == 0:
+                words[at] = int(rng.integers(1 << 62))
+            elif kind == 1:
+                words.insert(at, int(rng.integers(1 << 62)))
+            else:
+                del words[at]
+        text = np.array([*rng.integers(1, 1 << 62, 50), *words, *rng.integers(1, 1 << 62, 50)]).astype(np.uint64)
+        total += 1
+        found += any(r[1] == m for r in index.search(text, np.array([0, len(text)])))
+    assert found == total
+
+
 def test_suffix_arrays():
     rng = random.Random(8)
     for _ in range(2000):
