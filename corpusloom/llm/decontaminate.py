@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from ..settings import written
 from . import words as W
 
-#: Items with fewer words than this are not searched; longer ones are cut into pieces of LONGEST words
-#: at most, and a leak of a piece is a leak of its item.
+#: Items with fewer words than this have no edits and are matched exactly; long ones are cut into pieces of
+#: LONGEST words at most, and a leak of a piece is a leak of its item.
 SHORTEST = 5
 LONGEST = 256
 BLOCK = 20_000
@@ -137,6 +137,7 @@ class Index:
     tables: dict[int, int]  # by item length; 0: verified without tables
     lookup: dict = field(default_factory=dict)  # (length, table) -> sorted keys, item numbers
     grams: dict = field(default_factory=dict)  # q -> bitmap, sorted grams, offsets, item numbers
+    short: dict = field(default_factory=dict)  # length below SHORTEST -> sorted hashes, item numbers
 
     @classmethod
     def of(cls, names: list, items: list[np.ndarray]) -> Index:
@@ -147,6 +148,11 @@ class Index:
         far = False
         for length, members in sorted(by_length.items()):
             rows = np.stack([items[i] for i in members])
+            if length < SHORTEST:
+                hashes = W.windows(rows.reshape(-1), length)[::length]
+                order = np.argsort(hashes, kind="stable")
+                index.short[length] = hashes[order], np.array(members)[order]
+                continue
             # recall falls with length, and what goes without tables is complete
             index.tables[length] = 0 if far else tables_for(list(rows))
             far = far or length >= FAR and not index.tables[length]
@@ -155,7 +161,7 @@ class Index:
                 order = np.argsort(keys, kind="stable")
                 index.lookup[length, table] = keys[order], np.array(members)[order]
         for q in (2, 3):
-            own = [(np.unique(_grams(x, q)), i) for i, x in enumerate(items) if gram_size(len(x)) == q]
+            own = [(np.unique(_grams(x, q)), i) for i, x in enumerate(items) if len(x) >= SHORTEST and gram_size(len(x)) == q]
             if own:
                 gram = np.concatenate([g for g, _ in own])
                 item = np.concatenate([np.full(len(g), i) for g, i in own])
@@ -174,7 +180,7 @@ class Index:
         row_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
         windows = defaultdict(list)
         candidates = set()
-        direct = np.array([not self.tables[n] for n in lengths.tolist()])
+        direct = np.array([not self.tables.get(n) for n in lengths.tolist()])
         for q, (bitmap, values, offsets, item) in self.grams.items():
             if len(h) < q:
                 continue
@@ -222,6 +228,15 @@ class Index:
                     for m in members[low[w] : high[w]]:
                         candidates.add((int(row_of[spread[w]]), int(m), int(spread[w])))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for n, (hashes, members) in self.short.items():
+            mine = W.windows(h, n)
+            low, high = np.searchsorted(hashes, mine), np.searchsorted(hashes, mine, "right")
+            for p in np.flatnonzero(high > low).tolist():
+                row = int(row_of[p])
+                if row == row_of[p + n - 1]:
+                    start = p - int(first[row])
+                    for m in members[low[p] : high[p]].tolist():
+                        best.setdefault((row, m), (start, start + n, 0))
         done: dict[tuple[int, int], int] = {}
         for row, m, start in sorted(candidates):
             n = len(self.items[m])
@@ -262,7 +277,7 @@ def aligned(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 def _blocks(benchmark: DataFrame):
     """Blocks of at most about BLOCK items: names, and word sequences of their pieces."""
     items = written(
-        benchmark.where("item_id is not null and text is not null").select("item_id", "text").withColumn("h", F.xxhash64("item_id", "text"))
+        benchmark.where("text is not null").select("item_id", "text").withColumn("h", F.xxhash64("item_id", "text"))
     )
     count = items.count()
     parts = -(-count // BLOCK)
@@ -272,7 +287,7 @@ def _blocks(benchmark: DataFrame):
         for row, words in zip(rows, sequences(pa.array([r.text for r in rows], pa.large_string())), strict=True):
             pieces = max(1, -(-len(words) // LONGEST))
             for piece in np.array_split(words, pieces):
-                if len(piece) >= SHORTEST:
+                if len(piece):
                     names.append(row.item_id)
                     sequences_.append(piece)
         if names:
@@ -299,7 +314,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_type = benchmark.schema["item_id"].dataType
     schema = f"doc_id {id_type}, item_id {item_type.simpleString()}, first_word long, end_word long, distance int"
     out = None
-    for names, items in _blocks(benchmark):
+    for names, items in _blocks(benchmark.where("item_id is not null")):
         shared = docs.sparkSession.sparkContext.broadcast(Index.of(names, items))
 
         def look(batches, shared=shared):
@@ -318,7 +333,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no item leaks, with their columns unchanged."""
+    """The documents in which no item leaks, with their columns unchanged. Items need no id here."""
     at_text = docs.columns.index("text")
     for names, items in _blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(Index.of(names, items))

@@ -149,6 +149,16 @@ def test_leaks_of_odd_rows(spark):
     assert decontaminate.without_leaks(docs, bench.where("false")).count() == 11
 
 
+def test_short_items_and_items_without_id(spark):
+    bench = spark.createDataFrame(
+        [(1, "Paris"), (2, "red, green blue"), (3, "four words of it"), (None, "seven words that no one has named yet")], "item_id long, text string"
+    )
+    docs = of_texts(spark, ["in paris today", "comparison", "red green", "a RED green (blue)", "green blue four words of", "it", "so seven words that no one has named yet"])
+    found = {(r.doc_id, r.item_id, r.first_word, r.end_word, r.distance) for r in decontaminate.leaks(docs, bench).collect()}
+    assert found == {(0, 1, 1, 2, 0), (3, 2, 1, 4, 0)}
+    assert {r.doc_id for r in decontaminate.without_leaks(docs, bench).collect()} == {1, 2, 4, 5}
+
+
 def test_long_items_among_short_ones_are_found():
     """Items with the most edits: every length has the target recall, whatever else is in the block."""
     import numpy as np
