@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, mixing, pii, quality, secrets, sharding, substrings, tokenstore, toxicity
+from . import bytenet, decontaminate, jaccard, mixing, negatives, pii, quality, secrets, sharding, substrings, tokenstore, toxicity, vectors, zones
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,3 +163,84 @@ def token_index(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_suffix_groups")
 def suffix_groups(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.deduplicated(table(spark, sf, "documents")).drop("kept", "spans")
+
+
+NEGATIVES_SQL = """
+  WITH v AS (
+    SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * x::double)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  scored AS (
+    SELECT a.rid AS aid, a.vec_id AS anchor_id, b.rid AS bid, b.vec_id, a.label = b.label AS alike,
+      list_inner_product(a.q, b.q)::bigint AS score
+    FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 100 = 0),
+  positives AS (
+    SELECT aid, anchor_id, vec_id AS positive_id, score AS positive_score,
+      row_number() OVER (PARTITION BY aid ORDER BY score DESC, vec_id, bid)::int AS positive_rank
+    FROM scored WHERE alike QUALIFY positive_rank <= 5)
+  SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.aid, positive_rank ORDER BY n.score DESC, n.vec_id, n.bid)::int AS rank,
+    n.vec_id AS negative_id, positive_score, n.score AS negative_score, positive_rank
+  FROM positives p JOIN scored n ON p.aid = n.aid AND NOT n.alike
+    AND 100 * n.score >= 30 * positive_score AND 100 * n.score <= 90 * positive_score
+  QUALIFY rank <= 10"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return negatives.mined(vectors.quantised(rows, ["vec_id", "label"], 256), F.col("vec_id") % 100 == 0)
+
+
+CLUSTERS, CLUSTER_ROUNDS = 8, 10
+
+
+def _cluster_sql() -> str:
+    """The rounds written out, one pair of steps after the other."""
+    assign = """(SELECT rid, any_value(vec_id) AS vec_id, any_value(q) AS q, arg_min(k, d * 64 + k) AS k, min(d) AS d
+      FROM (SELECT rid, vec_id, q, k,
+          list_inner_product(q, q) - 2 * list_inner_product(q, c) + list_inner_product(c, c) AS d FROM v, {centroids})
+      GROUP BY rid)"""
+    steps = []
+    for r in range(CLUSTER_ROUNDS):
+        steps.append(f"a{r} AS MATERIALIZED {assign.format(centroids=f'c{r}')}")
+        steps.append(f"""c{r + 1} AS MATERIALIZED (
+          SELECT c.k, coalesce(any_value(m.c), any_value(c.c)) AS c FROM c{r} c LEFT JOIN (
+            SELECT k, list(x ORDER BY i) AS c FROM (
+              SELECT k, i, floor(sum(x) / count(*)) AS x
+              FROM (SELECT k, unnest(q) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY k, i) GROUP BY k) m USING (k)
+          GROUP BY c.k)""")
+    return f"""
+      WITH v AS MATERIALIZED (
+        SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) AS q FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) = 64
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      c0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST) - 1 AS k, q AS c FROM v
+        QUALIFY k < {CLUSTERS}),
+      {", ".join(steps)},
+      final AS MATERIALIZED {assign.format(centroids=f"c{CLUSTER_ROUNDS}")}
+      SELECT vec_id, k::int AS cluster, d::bigint AS distance,
+        (sum(d) OVER (PARTITION BY k))::bigint AS cluster_inertia, (sum(d) OVER ())::bigint AS inertia,
+        sha256(array_to_string(list_transform(c, lambda x: x::bigint), ',')) AS centroid_sha256
+      FROM final JOIN c{CLUSTER_ROUNDS} USING (k)"""
+
+
+@query("op13_zone_clusters", _cluster_sql())
+def zone_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    rows = vectors.quantised(table(spark, sf, "embeddings"), ["vec_id"], 1024, width=64)
+    return zones.report(zones.cluster(rows, zones.starts(rows, 64, CLUSTERS, "3"), CLUSTER_ROUNDS))
+
+
+@query("op12_byte_quality")
+def byte_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    net = bytenet.fit(docs, table(spark, sf, "labels"), "quality", ~held_out)
+    scored = bytenet.scored(docs, net, ["doc_id"])
+    # a document without an id belongs to neither side of the split; its labels cannot be learnt either
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
