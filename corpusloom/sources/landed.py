@@ -1,4 +1,5 @@
-"""Scans of landed catalog responses: one JSON document per file, read whole and exploded."""
+"""Scans of landed catalog responses, one JSON document per file. Usual pages are read whole and exploded,
+documents above ``LARGE`` bytes in ranges (``bodies``)."""
 
 from __future__ import annotations
 
@@ -6,10 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import positions
+from . import bodies
 
 ENVELOPE = "content array<struct<type:string,text:string>>"
 # arrival position = page number * PAGE_STRIDE + position on the page
 PAGE_STRIDE = 1 << 32
+#: Larger documents are read in ranges by many tasks.
+LARGE = 64 << 20
 
 
 def natural(path: Column) -> Column:
@@ -25,21 +29,33 @@ def numbered(pages: DataFrame) -> DataFrame:
     return pages.join(ranks, "path")
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed files as ``page, key, value``: rank of the file in natural path order, stem of the file
-    name, the text. Paths are distinct, so pages never tie, whatever the files are called."""
-    listed = spark.read.format("binaryFile").load(path).select("path")
+def plain(path: Column) -> Column:
+    """A path as both readers write it: one writes a local path with one slash, one with three."""
+    return F.regexp_replace(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+
+
+def ranked(spark: SparkSession, path: str) -> DataFrame:
+    """Landed files as ``path, page, bytes``: the rank in natural path order. Paths are distinct, so pages
+    never tie, whatever the files are called."""
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
     order = Window.orderBy(natural(F.col("path")), "path")  # one small row per file
-    ranks = listed.select("path", F.row_number().over(order).cast("bigint").alias("page"))
-    texts = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"),
+    return listed.select(
+        plain(F.col("path")).alias("path"), F.row_number().over(order).cast("bigint").alias("page"), F.col("length").alias("bytes")
+    )
+
+
+def read_pages(spark: SparkSession, path: str, large: int | None = None) -> DataFrame:
+    """Landed files as ``page, key, value``: rank of the file, stem of its name, the text. Files above
+    ``large`` bytes are left out (and not read)."""
+    texts = spark.read.text(path, wholetext=True)
+    if large is not None:
+        texts = texts.where(F.col("_metadata.file_size") <= large)
+    texts = texts.select(
+        plain(F.col("_metadata.file_path")).alias("path"),
         F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("key"),
         "value",
     )
-    # the two readers write a local path with one or three slashes
-    plain = lambda c: F.regexp_replace(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
-    texts = texts.withColumn("path", plain(F.col("path")))
-    return texts.join(ranks.withColumn("path", plain(F.col("path"))), "path").select("page", "key", "value")
+    return texts.join(ranked(spark, path), "path").select("page", "key", "value")
 
 
 def read_lines(spark: SparkSession, path: str, page: int = 1) -> DataFrame:
@@ -100,8 +116,23 @@ def explode_details(pages: DataFrame, detail_type: str) -> DataFrame:
     )
 
 
-def scan_items(spark: SparkSession, path: str, item_type: str, keys: tuple[str, ...]) -> DataFrame:
-    return explode_items(read_pages(spark, path), item_type, keys)
+def scan_items(
+    spark: SparkSession, path: str, item_type: str, keys: tuple[str, ...], large: int = LARGE
+) -> DataFrame:
+    """Items of all landed files with their arrival position. Documents above ``large`` bytes give the same
+    rows as small ones: the size only chooses who reads them."""
+    if not ranked(spark, path).where(F.col("bytes") > large).take(1):
+        return explode_items(read_pages(spark, path), item_type, keys)
+    small = explode_items(read_pages(spark, path, large), item_type, keys)
+    return small.unionByName(explode_bodies(spark, path, item_type, keys, large))
+
+
+def explode_bodies(spark: SparkSession, path: str, item_type: str, keys: tuple[str, ...], large: int) -> DataFrame:
+    """``explode_items`` for the documents above ``large`` bytes."""
+    found = bodies.listed(bodies.large_rows(spark, path, large), keys)
+    found = found.withColumn("path", plain(F.col("path"))).join(ranked(spark, path), "path")
+    ordinal = F.col("page") * F.lit(PAGE_STRIDE) + F.col("position")
+    return found.select(ordinal.alias("ordinal"), F.from_json("text", item_type).alias("item")).select("ordinal", "item.*")
 
 
 def scan_details(spark: SparkSession, path: str, detail_type: str) -> DataFrame:
