@@ -3,7 +3,7 @@
 from .operators.domains import REGISTRY, DomainSpec, register
 from .plans.extract import Run, extract_domain, run, scan_catalog, scan_catalog_details
 from .plans.inspect import coverage, stats
-from .plans.publish import push, push_file, push_snapshots, validate
+from .plans.publish import open_store, publish_run, push, push_file, push_snapshots, validate
 from .settings import ExtractionConfig, build_session
 
 __all__ = [
@@ -14,6 +14,8 @@ __all__ = [
     "build_session",
     "coverage",
     "extract_domain",
+    "open_store",
+    "publish_run",
     "push",
     "push_file",
     "push_snapshots",

@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import citations, review
+from ..operators import citations, incremental, review
 from ..operators.pairs import answer_of, question_of
+from ..schema import ARCHIVE, CACHE, REVIEW
 from ..settings import stable, written
 from ..sources import tables
+from ..sources.store import Append, Change, Keyed, Log, Manifest, Replace, Store
 
 
 @dataclass
@@ -64,6 +66,42 @@ def push(live: DataFrame, pairs: DataFrame, vectors: DataFrame | None = None) ->
     )
 
 
+def open_store(spark: SparkSession, root: str, buckets: int = 64) -> Store:
+    """The kept tables of a corpus: ``live`` review records, their ``archive``, and the ``cache``."""
+    keyed = {"live": Keyed(REVIEW, ("source_ref",), buckets), "cache": Keyed(CACHE, tuple(incremental.KEY), buckets)}
+    return Store(spark, root, {**keyed, "archive": Log(ARCHIVE)})
+
+
+def publish_run(
+    store: Store,
+    run: str,
+    pairs: DataFrame | None = None,
+    entries: DataFrame | None = None,
+    vectors: DataFrame | None = None,
+) -> Manifest:
+    """Push ``pairs`` and upsert the cache ``entries`` of one extraction run; live records, archive and cache
+    become visible together. Repeating a run, after a failure at any step or after success, archives
+    every replaced record once. Only buckets with an incoming key are read and written."""
+    pairs = None if pairs is None else stable(pairs)
+    entries = None if entries is None else stable(entries)
+
+    def build(base: Manifest) -> dict[str, Change]:
+        changes: dict[str, Change] = {}
+        if pairs is not None:
+            touched = store.touched("live", pairs)
+            # read by the live records, the archive and their counts
+            marked = written(review.mark_replaced(store.read("live", base, touched), pairs))
+            records = review.to_records(pairs, vectors)
+            changes["live"] = Replace(review.replace(marked, records.select(*marked.drop("replaced").columns)), touched)
+            changes["archive"] = Append(review.archive(marked))
+        if entries is not None:
+            touched = store.touched("cache", entries)
+            changes["cache"] = Replace(incremental.upsert(store.read("cache", base, touched), entries), touched)
+        return changes
+
+    return store.run(run, build)
+
+
 def push_snapshots(
     spark: SparkSession,
     live: DataFrame,
@@ -73,7 +111,8 @@ def push_snapshots(
     vectors: DataFrame | None = None,
 ) -> str:
     """Append the archive, then write a new live snapshot; returns its path. A crash in between
-    leaves the old snapshot in force, so no record is lost."""
+    leaves the old snapshot in force, so no record is lost, but a repeated call archives again: use
+    ``publish_run`` where that matters."""
     result = push(live, stable(pairs), vectors)
     result.archived.write.mode("append").parquet(archive_path)
     return tables.write_snapshot(result.live, live_root)

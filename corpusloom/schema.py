@@ -52,6 +52,13 @@ REVIEW = (
     f"eval_issues string, metadata {REVIEW_METADATA}, vector array<float>, responses {RESPONSES}"
 )
 
+# a replaced record, without its id: when and why it was replaced
+ARCHIVE = (
+    f"source_ref string, question string, answer string, source_data string, eval_issues string, "
+    f"metadata {REVIEW_METADATA}, vector array<float>, archived_at string, replaced_reason string, "
+    f"annotation_depth string, responses {RESPONSES}"
+)
+
 
 def invalid_pair() -> Column:
     """True where a pair breaks the record contract (missing field or value outside a closed set)."""
