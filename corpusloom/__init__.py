@@ -1,6 +1,7 @@
 """Question/answer corpora from catalog tables, built with Spark DataFrames."""
 
 from .operators.domains import REGISTRY, DomainSpec, register
+from .operators.ledger import Ledger
 from .plans.extract import Run, extract_domain, run, scan_catalog, scan_catalog_details
 from .plans.inspect import coverage, stats
 from .plans.publish import open_store, publish_run, push, push_file, push_snapshots, validate
@@ -10,6 +11,7 @@ __all__ = [
     "REGISTRY",
     "DomainSpec",
     "ExtractionConfig",
+    "Ledger",
     "Run",
     "build_session",
     "coverage",

@@ -15,6 +15,7 @@ from . import judge as judging
 from . import pairs as pairing
 from . import prompts
 from .domains import DomainSpec
+from .ledger import Ledger
 
 # ``generate(system, user, max_tokens) -> text``
 Generate = Callable[[str, str, int], str]
@@ -50,12 +51,18 @@ def generate(prompt_rows: DataFrame, factory: Factory, key: list[str], max_token
     return rows.mapInPandas(run, f"{key_fields}, text string, error string")
 
 
-def _answered(rows: DataFrame, factory: Factory, prefix: str, max_tokens: int) -> DataFrame:
+def _answered(
+    rows: DataFrame, factory: Factory, prefix: str, max_tokens: int, ledger: Ledger | None = None, tasks: int | None = None
+) -> DataFrame:
     """``rows`` (with ``system, user``) plus ``<prefix>_text`` and ``<prefix>_error``.
 
-    All columns are scalars and travel through the Python stage, which costs Arrow copies but no
+    With a ledger only prompts without an answer are asked, and each answer is kept at once. Without one
+    all columns are scalars and travel through the Python stage, which costs Arrow copies but no
     join. The result is written once: nothing downstream can trigger a second round of calls.
     """
+    if ledger is not None:
+        found = ledger.answered(rows, factory, max_tokens, tasks)
+        return found.withColumnRenamed("text", f"{prefix}_text").withColumnRenamed("error", f"{prefix}_error")
     columns = [c for c in rows.columns if c not in ("system", "user")]
     answers = generate(rows, factory, columns, max_tokens)
     return stable(
@@ -77,6 +84,7 @@ def two_pass(
     max_tokens: int = 2048,
     keep_battery: bool = False,
     tasks: int | None = None,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Entities (``domain, entity_id, entity_name, ordinal, entity_json, source_data, source_hash``)
     to the same rows with ``pairs``. Rows without items from the first pass get no second prompt,
@@ -85,9 +93,9 @@ def two_pass(
     domain = F.lit(spec.name)
     user = prompts.user_prompt(domain, F.col("entity_id"), F.col("user_json"), F.col("entity_name"))
     base = entities.columns
-    rows = spread(entities, tasks).withColumn("user_json", indent_json("entity_json"))
+    rows = (entities if ledger is not None else spread(entities, tasks)).withColumn("user_json", indent_json("entity_json"))
     rows = rows.withColumn("system", F.lit(prompts.battery_system(spec.name))).withColumn("user", user)
-    rows = _answered(rows, factory, "first", max_tokens)
+    rows = _answered(rows, factory, "first", max_tokens, ledger, tasks)
 
     before, after = prompts.discovery_parts(spec.name)
     existing = F.concat(F.lit(before), prompts.existing_block(F.col("battery_items")), F.lit(after))
@@ -95,7 +103,7 @@ def two_pass(
     rows = rows.withColumn("system", F.when(F.size("battery_items") > 0, existing))
     rows = rows.withColumn("user", F.when(F.col("system").isNotNull(), user))
     rows = rows.drop("battery_items", "battery_state")
-    rows = _answered(rows, factory, "second", max_tokens).drop("user_json")
+    rows = _answered(rows, factory, "second", max_tokens, ledger, tasks).drop("user_json")
 
     rows = pairing.parse_battery(rows, "first_text")
     rows = pairing.parse_discovery(rows, "second_text")
@@ -122,7 +130,9 @@ def failures(rows: DataFrame) -> DataFrame:
     return rows.select("domain", "entity_id", F.explode("errors").alias("e")).select("domain", "entity_id", "e.stage", "e.message")
 
 
-def judge(entities: DataFrame, factory: Factory | None, max_tokens: int = 2048) -> DataFrame:
+def judge(
+    entities: DataFrame, factory: Factory | None, max_tokens: int = 2048, ledger: Ledger | None = None, tasks: int | None = None
+) -> DataFrame:
     """Scores on the pair lists of the rows; one call per entity with pairs, none without a judge."""
     if factory is None:
         return entities
@@ -134,7 +144,7 @@ def judge(entities: DataFrame, factory: Factory | None, max_tokens: int = 2048)
     packed = asked.withColumn("_pairs", F.to_json("pairs")).drop("pairs")
     if "errors" in entities.columns:
         packed = packed.withColumn("_errors", F.to_json("errors")).drop("errors")
-    answered = _answered(packed, factory, "judge", max_tokens)
+    answered = _answered(packed, factory, "judge", max_tokens, ledger, tasks)
     answered = answered.withColumn("pairs", F.from_json("_pairs", entities.schema["pairs"].dataType))
     if "errors" in entities.columns:
         earlier = F.from_json("_errors", entities.schema["errors"].dataType)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import compare, domains, incremental, infer
 from ..operators import pairs as pairing
+from ..operators.ledger import Ledger
 from ..schema import PAIR_FIELDS
 from ..settings import ExtractionConfig, written
 from ..sources import landed, tables
@@ -82,8 +83,10 @@ def extract_domain(
     judge: infer.Factory | None = None,
     cache: DataFrame | None = None,
     tasks: int | None = None,
+    ledger: Ledger | None = None,
 ) -> DomainRun:
-    """One catalog. ``items`` has ``ordinal`` and the item's fields, ``details`` ``entity_id, detail``."""
+    """One catalog. ``items`` has ``ordinal`` and the item's fields, ``details`` ``entity_id, detail``. With a
+    ``ledger`` a run that is repeated after a failure asks only what has no answer yet."""
     config = config or ExtractionConfig()
     picked = domains.attach_details(domains.pick(spec, items, config), details, spec)
     # read by the plan, the replay, the generation and the records: parse and clean only once
@@ -103,8 +106,8 @@ def extract_domain(
         "source_hash",
         "full_hash",
     )
-    made = infer.two_pass(todo, spec, backend, config.max_tokens, tasks=tasks)
-    made = infer.judge(made, None if config.no_judge else judge, config.max_tokens)
+    made = infer.two_pass(todo, spec, backend, config.max_tokens, tasks=tasks, ledger=ledger)
+    made = infer.judge(made, None if config.no_judge else judge, config.max_tokens, ledger, tasks)
     kept = incremental.replay(planned)
     fresh = pairing.explode_pairs(made)
     both = kept.select("ordinal", "sub", *PAIR_FIELDS).unionByName(
@@ -126,6 +129,7 @@ def run(
     judge: infer.Factory | None = None,
     cache: DataFrame | None = None,
     tasks: int | None = None,
+    ledger: Ledger | None = None,
 ) -> Run:
     """All given catalogs, then the comparisons over their records. No results are written here, so a
     dry run is this call alone. An unregistered catalog is skipped."""
@@ -137,7 +141,7 @@ def run(
         if spec is None:
             continue
         one = extract_domain(
-            spec, frame, backend, config, (details or {}).get(name), judge, cache, tasks
+            spec, frame, backend, config, (details or {}).get(name), judge, cache, tasks, ledger
         )
         out.pairs[name] = one.pairs.select(*PAIR_FIELDS)
         out.records[name] = one.records
