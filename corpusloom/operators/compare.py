@@ -13,8 +13,12 @@ one row. *Samples* give the count and the first five names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -237,27 +241,82 @@ def listing(
     return _finish(rows, template)
 
 
-def _first_rows(members: DataFrame, order: list[str], alias: str) -> DataFrame:
-    """First SAMPLE members per group. The rank limit also runs before the shuffle, so a group
-    sends at most SAMPLE rows per input task."""
-    ranked = members.withColumn("_n", F.row_number().over(W.partitionBy("group").orderBy(*order)))
-    return (
-        ranked.where(F.col("_n") <= SAMPLE)
-        .groupBy("group")
-        .agg(F.sort_array(F.collect_list(F.struct("_n", "name", "entity_id"))).alias(alias))
-    )
+#: Rows that a task combines at a time.
+COMBINE = 1 << 17
+
+
+def _bounded(rows: pa.Table) -> pa.Table:
+    """Of every group the rows that can be among its first SAMPLE by name or by arrival; the group's
+    count stands on one of them."""
+    if not rows.num_rows:
+        return rows
+    group = rows.column("group").combine_chunks().dictionary_encode().indices.to_numpy()
+    keep = np.zeros(len(group), bool)
+    plain = rows.append_column("_g", pa.array(group))
+    for order in (["name", "ordinal", "sub", "entity_id"], ["ordinal", "sub", "entity_id"]):
+        at = pc.sort_indices(plain, [(c, "ascending") for c in ["_g", *order]], null_placement="at_start").to_numpy()
+        sorted_ = group[at]
+        first = np.flatnonzero(np.diff(sorted_, prepend=-1))
+        place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        keep[at[place < SAMPLE]] = True
+    kept = np.flatnonzero(keep)
+    total = np.zeros(int(group.max()) + 1, np.int64)
+    np.add.at(total, group, rows.column("members").to_numpy())
+    _, one = np.unique(group[kept], return_index=True)
+    members = np.zeros(len(kept), np.int64)
+    members[one] = total[group[kept][one]]
+    out = rows.take(pa.array(kept))
+    return out.set_column(out.schema.get_field_index("members"), "members", pa.array(members))
+
+
+def _combined(members: DataFrame) -> DataFrame:
+    """``members`` with a count column, each task's part reduced to a bounded state per group (see
+    ``_bounded``); states merge by the same rule."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        count = 0
+        for batch in batches:
+            held.append(batch.append_column("members", pa.array(np.ones(batch.num_rows, np.int64))))
+            count += batch.num_rows
+            if count >= COMBINE:
+                state = _bounded(pa.Table.from_batches(held).combine_chunks())
+                # many small groups: nothing to gain by holding them
+                if state.num_rows * 2 > COMBINE:
+                    yield from state.to_batches()
+                    held, count = [], 0
+                else:
+                    held, count = state.to_batches(), state.num_rows
+        if held:
+            yield from _bounded(pa.Table.from_batches(held).combine_chunks()).to_batches()
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema.fields)
+    return members.mapInArrow(run, f"{fields}, members long")
 
 
 def sampled(members: DataFrame, template: Template) -> DataFrame:
-    """One pair per group with the member count and the first five names."""
-    members = members.select(*MEMBER)
-    counts = members.groupBy("group", "label").agg(F.count(F.lit(1)).alias("members"))
-    by_name = _first_rows(members, ["name", "ordinal", "sub", "entity_id"], "_names")
-    by_arrival = _first_rows(members, ["ordinal", "sub", "entity_id"], "_first")
+    """One pair per group with the member count and the first five names.
+
+    The input is read once: tasks reduce it to a count and at most ten rows per group, which one
+    shuffle brings together.
+    """
+    state = _combined(members.select(*MEMBER))
+    whole = W.partitionBy("group", "label")
+    placed = state.select(
+        *MEMBER,
+        F.sum("members").over(whole).alias("members"),
+        F.row_number().over(whole.orderBy("name", "ordinal", "sub", "entity_id")).alias("_by_name"),
+        F.row_number().over(whole.orderBy("ordinal", "sub", "entity_id")).alias("_by_arrival"),
+    ).where((F.col("_by_name") <= SAMPLE) | (F.col("_by_arrival") <= SAMPLE))
+
+    def first(place: str) -> Column:
+        row = F.struct(F.col(place).alias("_n"), "name", "entity_id")
+        return F.sort_array(F.collect_list(F.when(F.col(place) <= SAMPLE, row)))
+
     joined = (
-        counts.where(F.col("members") >= template.minimum)
-        .join(by_name, "group")
-        .join(by_arrival, "group")
+        placed.where(F.col("members") >= template.minimum)
+        .groupBy("group", "label")
+        .agg(F.max("members").alias("members"), first("_by_name").alias("_names"), first("_by_arrival").alias("_first"))
     )
     glue = F.when(F.col("members") > SAMPLE, F.lit(", including ")).otherwise(F.lit(": "))
     answer = F.concat(

@@ -199,3 +199,35 @@ def test_duplicate_slugs_are_reported(spark):
     df = spark.createDataFrame(rows, groups(spark).schema)
     made = compare.listing(compare.by_field(df, "category"), compare.templates("x")["group_category"])
     assert [(r.id, r.groups) for r in compare.duplicate_ids(made).collect()] == [("cmp_ag_cat_" + "x" * 30, 2)]
+
+
+def test_sample_state_is_bounded_and_merges(spark, monkeypatch):
+    """A large group, ties, many small groups, and states flushed early give the plain answer."""
+    import random
+
+    rng = random.Random(3)
+    rows = [("big", f"n{rng.randint(0, 40):02d}", rng.randint(0, 500), rng.randint(0, 1), f"e{i}") for i in range(3000)]
+    rows += [(f"g{i % 700}", f"n{rng.randint(0, 9)}", i, 0, None if i % 50 == 0 else f"e{i}") for i in range(2000)]
+    df = spark.createDataFrame([(g, g, n, o, s, e) for g, n, o, s, e in rows], "group string, label string, name string, ordinal long, sub int, entity_id string")
+    null_first = lambda e: (e is not None, e or "")
+    template = compare.templates("Demo")["project_field"]
+    expected = {}
+    for group in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == group]
+        by_arrival = sorted(own, key=lambda r: (r[2], r[3], null_first(r[4])))[:5]
+        by_name = sorted(own, key=lambda r: (r[1], r[2], r[3], null_first(r[4])))[:5]
+        if len(own) >= template.minimum:
+            expected[group] = ([r[1] for r in by_name], [r[4] for r in by_arrival], len(own))
+    for size in (64, 1 << 17):
+        monkeypatch.setattr(compare, "COMBINE", size)
+        state = compare._combined(df.repartition(3)).where("group = 'big'")
+        assert state.agg({"members": "sum"}).first()[0] == 3000
+        if size > 64:
+            assert state.count() <= 30
+        got = {r.source_group: r for r in compare.sampled(df.repartition(3), template).withColumn("source_group", F.col("id")).collect()}
+        assert len(got) == len(expected)
+        for row in got.values():
+            names, ids, count = next(v for g, v in expected.items() if row.id.endswith(f"_{g}"))
+            assert list(row.resources) == ids and str(count) in row.answer
+            at = [row.answer.index(n) for n in dict.fromkeys(names)]
+            assert at == sorted(at)
