@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 import sys
+import unicodedata
 import uuid
 import zlib
 from array import array
@@ -43,8 +44,9 @@ FILE_BUCKETS = 256
 #: Bytes of text that one payload file takes, about.
 FILE_BYTES = 32 << 20
 LEVELS = 48
-#: Distinct pieces of text whose ids a Python worker remembers, in each of two generations.
-REMEMBERED = 300_000
+#: Distinct pieces of text, and distinct words of them, whose ids a Python worker remembers, in each of two
+#: generations.
+REMEMBERED = 200_000
 
 RECORD = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("start", "<u8"), ("n", "<u8")])
 
@@ -60,39 +62,109 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(plain)
 
 
+# The word pattern of byte-level tokenizers (white space spelt out), and their letters for bytes.
+# The classes of characters are those below U+0250, which are the same in every version of Unicode.
+_L, _N = ("".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind) for kind in "LN")
+_PLAIN_WORDS = re.compile(
+    rf" ?[{_L}]+| ?[{_N}]+|'(?:[stmd]|re|ve|ll)| ?[^{_WS}{_L}{_N}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
+)
+_PLAIN = re.compile("[\x00-\u024f]*")
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS = {b: b for b in _SHOWN} | {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
+
+
+class Memory:
+    """Ids of texts met, in two generations: what is met again moves on, the rest is forgotten."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.new) > self.size:
+            self.new, self.old = {}, self.new
+
+    def missing(self, cut: list[list[str]]) -> list[str]:
+        """The distinct parts of the ``cut`` texts that are not known."""
+        out = []
+        for t in {t for found in cut for t in found if t not in self.new}:
+            if t in self.old:
+                self.new[t] = self.old[t]
+            else:
+                out.append(t)
+        return out
+
+
 class Encoder:
-    """Ids of whole texts as bytes, with memory of the pieces met."""
+    """Ids of whole texts as bytes, as the tokenizer's plain call gives them, with memory of what was met.
 
-    def __init__(self, path: str):
+    For byte-level pair encoding, texts are cut into words and only new words go to the merge table; words
+    of texts with characters from U+0250 on, whose classes change with the version of Unicode, and texts for
+    other tokenizers are cut at white space and encoded piece by piece. Texts that hold the name of an added
+    token are encoded whole. With ``names_as_text`` such names are ordinary text.
+    """
+
+    def __init__(self, path: str, names_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # names of special tokens inside a text are ordinary text
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = names_as_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (names_as_text and t.special)]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+        spec = json.loads(self.tokenizer.to_str())
+        split = spec["pre_tokenizer"] or {}
+        self.by_word = (
+            spec["model"]["type"] == "BPE"
+            and spec["normalizer"] is None
+            and not spec["model"].get("dropout")
+            and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True)
+            and not split.get("add_prefix_space")
+        )
+        self.pieces, self.words = Memory(REMEMBERED), Memory(REMEMBERED)
+
+    def _packed(self, ids) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self._packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
+        cut = [_PLAIN_WORDS.findall(t) for t in texts]
+        self.words.turn()
+        tokenize, ids = self.tokenizer.model.tokenize, self.words.new
+        for word in self.words.missing(cut):
+            ids[word] = self._packed([t.id for t in tokenize(word.encode().decode("latin-1").translate(_LETTERS))])
+        return [b"".join([ids[w] for w in found]) for found in cut]
+
+    def _by_piece(self, texts: list[str]) -> list[bytes]:
         cut = [PIECES.findall(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            # pieces that are met again move on to the new generation, the others are forgotten with the old
-            self.known, self.older = {}, self.known
-        known, older, new = self.known, self.older, []
-        for p in {p for pieces in cut for p in pieces if p not in known}:
-            if p in older:
-                known[p] = older[p]
-            else:
-                new.append(p)
+        self.pieces.turn()
+        new = self.pieces.missing(cut)
         for low in range(0, len(new), 10_000):
             part = new[low : low + 10_000]
-            for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = array(self.code, e.ids)
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                known[piece] = ids.tobytes()
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+            self.pieces.new.update(zip(part, self._whole(part), strict=True))
+        ids = self.pieces.new
+        return [b"".join([ids[p] for p in found]) for found in cut]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        done: dict[str, bytes] = {}
+        groups: dict = {self._whole: [], self._by_word: [], self._by_piece: []}
+        for t in dict.fromkeys(texts):
+            if self.added is not None and self.added.search(t):
+                groups[self._whole].append(t)
+            else:
+                groups[self._by_word if self.by_word and _PLAIN.fullmatch(t) else self._by_piece].append(t)
+        for encode, own in groups.items():
+            if own:
+                done.update(zip(own, encode(own), strict=True))
+        return [done[t] for t in texts]
 
 
 _encoders: dict[str, Encoder] = {}
