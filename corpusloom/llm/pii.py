@@ -16,7 +16,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import string
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +29,16 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone", "name")
 BASE_KINDS = KINDS[:4]
 # The base rules.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# An address is found from its @ outwards, and no search begins inside a run of its first characters, so
+# that long runs take linear time; the matches are those of the plain patterns.
+LOCAL = string.ascii_letters + string.digits + "._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Looser candidates.
-HIDDEN_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+ ?[\[({] ?(?:at|AT) ?[\])}] ?[A-Za-z0-9-]+(?: ?(?:\.|[\[({] ?(?:dot|DOT) ?[\])}]) ?[A-Za-z0-9-]+)+")
+HIDDEN_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+ ?[\[({] ?(?:at|AT) ?[\])}] ?[A-Za-z0-9-]+(?: ?(?:\.|[\[({] ?(?:dot|DOT) ?[\])}]) ?[A-Za-z0-9-]+)+")
 LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z+.,-])(?:\([0-9]{2,5}\)|[0-9]{2,5})(?:[\x20./-]+[0-9]{2,5}){1,5}(?![0-9A-Za-z]|[.,-][0-9])")
 NAME = re.compile(r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.? ([A-ZÄÖÜÉ][a-zäöüßéèêçñáíóú]+(?: [A-ZÄÖÜÉ][a-zäöüßéèêçñáíóú]+)?)")
 DIGIT = re.compile(r"[0-9]")
@@ -72,15 +78,29 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Leftmost matches of ``[LOCAL]+@DOMAIN``."""
+    out = []
+    low, at = 0, text.find("@")
+    while at >= 0:
+        start = low + len(text[low:at].rstrip(LOCAL))
+        found = DOMAIN.match(text, at + 1) if start < at else None
+        if found:
+            out.append((start, found.end()))
+        low = found.end() if found else at + 1
+        at = text.find("@", low)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the strict patterns, by kind as listed, then start."""
     out = []
     if "@" in text:
-        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+        out += [("email", s, e) for s, e in emails(text)]
     if DIGIT.search(text):
         if "." in text:
             for m in IP.finditer(text):
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
                     out.append(("ip", m.start(), m.end()))
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 16:
@@ -116,9 +136,14 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     base = base_spans(text)
     out = [(*s, True) for s in base]
     taken = sorted((s, e) for _, s, e in base)
+    starts = [s for s, _ in taken]
+    ends = list(accumulate((e for _, e in taken), max))
+    upto = 0
     for kind, s, e in sorted(loose_spans(text), key=lambda x: (x[1], -x[2])):
-        if all(e <= a or s >= b for a, b in taken):
-            taken.append((s, e))
+        # the base spans that begin before the end, and the loose span before
+        n = bisect_left(starts, e)
+        if s >= upto and (not n or ends[n - 1] <= s):
+            upto = e
             out.append((kind, s, e, False))
     return out
 
