@@ -31,9 +31,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # runs are maximal, so asking for 16 at once finds the runs of 16 and more
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-URL_RUN = re.compile(r"(?:[A-Za-z0-9._~+/=:?&;,!*'()@$-]*%[0-9A-Fa-f]{2})+[A-Za-z0-9._~+/=:?&;,!*'()@$-]*")
+# A search begins at the start of a run only: later starts in it would find no more.
+URL_RUN = re.compile(r"(?<![A-Za-z0-9._~+/=:?&;,!*'()@$-])(?:[A-Za-z0-9._~+/=:?&;,!*'()@$-]*%[0-9A-Fa-f]{2})+[A-Za-z0-9._~+/=:?&;,!*'()@$-]*")
 ESCAPES = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
-ESCAPED_RUN = re.compile(rf"(?:[!-~]*?(?:{ESCAPES.pattern}))+[!-~]*".replace("([", "(?:["))
+ESCAPED_RUN = re.compile(rf"(?<![!-~])(?:[!-~]*?(?:{ESCAPES.pattern}))+[!-~]*".replace("([", "(?:["))
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 NEXT_LINE = re.compile(r"\r?\n[\x20\t]*([A-Za-z0-9+/_-]+={0,2})")
 #: Text inside other bytes; no finding is shorter, and none of its wrapped forms.
@@ -52,6 +53,7 @@ STEP = 256
 
 Span = tuple[int, int]
 Place = Callable[[int, int], Span]
+Way = tuple[Place, "Way | None"]
 
 
 def matches(text: str) -> Iterator[tuple[str, int, int]]:
@@ -157,7 +159,8 @@ def _pieces(text: str, run: re.Match, pattern: re.Pattern, decode: Callable[[lis
     return ("".join(out), spans) if decoded else None
 
 
-PERCENT = re.compile(r"%([0-9A-Fa-f]{2})")
+# A percent sign that was escaped over and over loses all but the last sixteen of its layers at once.
+PERCENT = re.compile(r"%(?:25(?=(?:25){16}))*([0-9A-Fa-f]{2})")
 
 
 def _percent(escapes: list[re.Match]) -> Iterator[Piece]:
@@ -286,9 +289,17 @@ def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int
     base = list(matches(text))
     inner: dict[tuple[str, int, int], int] = {}
     known = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
-    work: deque[tuple[str, Place, int]] = deque([(text, lambda s, e: (s, e), 0)])
+    # the way back from a layer: that to its parent, and the parent's way
+    work: deque[tuple[str, Way | None, int]] = deque([(text, None, 0)])
     while work:
-        layer, place, depth = work.popleft()
+        layer, way, depth = work.popleft()
+
+        def place(s: int, e: int, way: Way | None = way) -> Span:
+            while way is not None:
+                back, way = way
+                s, e = back(s, e)
+            return s, e
+
         if depth:
             for kind, s, e in matches(layer):
                 inner.setdefault((kind, *place(s, e)), depth)
@@ -303,7 +314,7 @@ def findings(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int
             if out == layer or mark in known or here in known:
                 continue
             known.add(here)
-            work.append((out, lambda s, e, p=place, b=back: p(*b(s, e)), depth + 1))
+            work.append((out, (back, way), depth + 1))
     taken = set(base)
     return base, sorted(((k, s, e, d) for (k, s, e), d in inner.items() if (k, s, e) not in taken), key=lambda x: (x[1], ORDER.index(x[0]), x[2]))
 
