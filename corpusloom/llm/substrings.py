@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..operators.skew import HOT_LOOK, hot_keys
+from ..operators.skew import HOT_LOOK, hot_keys, positions
 from ..settings import written
 from . import words as W
 from .anchors import GRAM, PART, chosen, prefix_sums
@@ -45,12 +45,28 @@ BROADCAST = 4_000_000
 #: Rows of one gram from which on its occurrences are laid out in slices.
 HOT_FLOOR = 20_000
 
-#: place = 24 bits that tell documents of one id apart, then 39 bits of position.
+#: place = 24 bits for the number of the document among those of its id, then 39 bits of position.
 _POSITION = (1 << 39) - 1
 
 
 def _ties(texts: DataFrame) -> DataFrame:
-    return texts.withColumn("tie", F.shiftrightunsigned(F.xxhash64("text"), 40))
+    """``texts`` with ``tie``: the number of the text among the different texts of its id, by hash. It is 0
+    throughout when no id repeats, which a count of the ids alone shows."""
+    if texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return texts.withColumn("tie", F.lit(0).cast("long"))
+    key = ["_none", "_id", "_h1", "_h2"]
+    keyed = (
+        texts.withColumn("_none", F.col("doc_id").isNull())
+        .withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+        .withColumn("_h1", F.xxhash64("text"))
+        .withColumn("_h2", F.xxhash64(F.lit("tie"), "text"))
+    )
+    # one id, such as NULL, may hold many of the rows: positions are found without giving a task the group
+    numbers = positions(keyed.select(*key).distinct(), key[:2], key[2:])
+    number = F.when(F.col("position") <= 1 << 24, F.col("position") - 1).otherwise(
+        F.raise_error(F.lit("more than 2^24 different texts under one id")).cast("long")
+    )
+    return keyed.join(numbers.select(*key, number.alias("tie")), key).drop(*key)
 
 
 def _parts(at: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:

@@ -255,3 +255,18 @@ def test_removal_of_odd_rows(spark):
         by[r.doc_id].append(r.n_removed)
     assert len(rows) == 11 and by[6] == [300_000 - 1] and by[1] == [0, 0] and by[2] == [0, 0, 0]
     assert substrings.deduplicated(empty_docs(spark)).count() == 0
+
+
+def test_documents_of_one_id_are_told_apart_exactly(spark):
+    rng = random.Random(21)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(150))
+    texts = [(None, shared + str(i)) for i in range(5000)] + [(None, shared + "7"), (1, "x" + shared), (2, "a plain one"), (2, "a plain one")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    ties = substrings._ties(docs).where("doc_id IS NULL").select("text", "tie").distinct().collect()
+    assert len(ties) == 5000 and sorted(r.tie for r in ties) == list(range(5000))
+    assert {r.tie for r in substrings._ties(docs).where("doc_id = 2").collect()} == {0}
+    order = {r.text: r.tie for r in ties}
+    got = {(r.doc_id, r.n_bytes, r.n_removed) for r in substrings.deduplicated(docs).collect()}
+    # ids that are NULL come first; of them the text with tie 0 keeps all
+    first = next(t for t, k in order.items() if k == 0)
+    assert (None, len(first.encode()), 0) in got and (1, 151, 150) in got

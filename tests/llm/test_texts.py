@@ -238,16 +238,20 @@ def vocabulary():
     return pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
 
 
-def test_pieces_encode_like_whole_texts(vocabulary):
+@pytest.mark.parametrize("names_as_text", [False, True])
+def test_parts_encode_like_whole_texts(vocabulary, monkeypatch, names_as_text):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(vocabulary)
-    plain.encode_special_tokens = True
-    encoder = tokenstore.Encoder(vocabulary)
+    if names_as_text:
+        plain.encode_special_tokens = True
+    monkeypatch.setattr(tokenstore, "REMEMBERED", 50)
+    encoder = tokenstore.Encoder(vocabulary, names_as_text)
     rng = random.Random(4)
-    signs = " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0" + chr(0x2003) + chr(0x3000) + chr(0x200B) + "ab!1'é. s"
-    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(15))) for _ in range(3000)] + ["<|endoftext|> it's"]
-    for t, body in zip(texts, encoder(texts), strict=True):
+    signs = " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0" + chr(0x2003) + chr(0x3000) + chr(0x200B) + "ab!1'é. slvetmrd²ɏɐЖ漢😀"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(15))) for _ in range(3000)] 
+    texts += ["<|endoftext|> it's", "a <|endoftext|> b", " <|endoftext|><|endoftext|>", "<|endoftext", "they'll've 12½ x", ""] + texts[:9]
+    for t, body in zip(texts, [b for at in range(0, len(texts), 100) for b in encoder(texts[at : at + 100])], strict=True):
         assert np.frombuffer(body, encoder.dtype).tolist() == plain.encode(t, add_special_tokens=False).ids
 
 
@@ -311,3 +315,38 @@ def test_pipeline_stages(spark):
     first = sorted((r.doc_id, r.shard, r.slot) for r in docs.collect())
     again = sorted((r.doc_id, r.shard, r.slot) for r in pipeline.run(spark, folder).collect())
     assert first == again
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    many = 1_000_000
+    texts = [
+        "1.1.1." + "0" * 5000, "a" * many, "a" * many + "@", "1" * many, "020 7946 0958 x " * (many // 16), "a@" * (many // 2),
+        "a" * many + " [at] b", "x%" + "25" * 1500 + "41", "x%" + "25" * (many // 2) + "41", "a" * many + "%zz", "a" * many + " \\n", "&#" * (many // 2),
+    ]
+    for text in texts:
+        begun = time.process_time()
+        pii.candidates(text)
+        secrets.findings(text)
+        assert time.process_time() - begun < 5, text[:20]
+
+
+def test_base_emails_and_addresses_equal_the_plain_patterns():
+    import re
+
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(12)
+    for _ in range(20_000):
+        text = "".join(rng.choice("ab1.0@%+_- 25") for _ in range(rng.randrange(30)))
+        assert pii.emails(text) == [m.span() for m in email.finditer(text)]
+        plain = [("ip", *m.span()) for m in ip.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        assert [s for s in pii.base_spans(text) if s[0] == "ip"] == plain
+
+
+def test_a_percent_sign_escaped_many_times():
+    for depth in (1, 5, 16, 17, 40, 400):
+        text = "note token%" + "25" * depth + "3Dabcdefghijkl end"
+        base, inner = secrets.findings(text)
+        assert ("assign", 5, len(text) - 4) in [x[:3] for x in inner], depth
