@@ -21,16 +21,20 @@ def hot_keys(
     spread: list[str],
     floor: int = HOT_FLOOR,
     look: int = HOT_LOOK,
+    keep: bool = False,
 ) -> DataFrame | None:
     """Keys that hold a large share of ``facts``, each with the number of slices it is cut into;
     None when there are none.
 
     Sizes are estimated on the rows whose ``spread`` hash falls in one of ``look`` classes, from the
     key columns alone. The estimate only decides how rows are balanced, never which rows are in
-    the result. The list is fixed before the join is planned, so both sides see the same one.
+    the result. The list is fixed before the join is planned, so both sides see the same one. With
+    ``keep`` the counts are written, for ``facts`` that are costly to evaluate a second time.
     """
     seen = facts.where(F.pmod(F.xxhash64(*spread), F.lit(look)) == 0).select(*keys)
     counts = seen.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if keep:
+        counts = written(counts)
     # most frequent first; any key beyond the first HOT_SHARE has a smaller share than 1/HOT_SHARE
     large = counts.where(F.col("_n") * look >= floor).orderBy(F.desc("_n")).limit(HOT_SHARE).collect()
     if not large:
