@@ -302,7 +302,7 @@ def removals(
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     texts = _ties(docs.select("doc_id", "text"))
     found = texts.where(F.octet_length("text") >= length).mapInArrow(_occurrences(length), f"h long, doc_id {kind}, place long, around long")
-    hot = hot_keys(found, ["h"], ["doc_id", "place"], floor, look)
+    hot = hot_keys(found, ["h"], ["doc_id", "place"], floor, look, keep=True)
     found = found.withColumn("cut", F.lit(0).cast("long")) if hot is None else (
         found.join(F.broadcast(hot), "h", "left")  # at most 10,000 rows
         .withColumn("cut", F.coalesce(F.pmod(F.xxhash64("doc_id", "place"), F.col("_slices")) + 1, F.lit(0)))
