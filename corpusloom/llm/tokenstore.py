@@ -26,6 +26,7 @@ import unicodedata
 import uuid
 import zlib
 from array import array
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,8 +45,8 @@ FILE_BUCKETS = 256
 #: Bytes of text that one payload file takes, about.
 FILE_BYTES = 32 << 20
 LEVELS = 48
-#: Distinct pieces of text, and distinct words of them, whose ids a Python worker remembers, in each of two
-#: generations.
+#: Distinct pieces of text whose ids a Python worker remembers, in each of two generations; of words, twice
+#: as many.
 REMEMBERED = 200_000
 
 RECORD = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("start", "<u8"), ("n", "<u8")])
@@ -96,6 +97,25 @@ class Memory:
         return out
 
 
+class Words(dict):
+    """Ids of words as bytes, learnt when first asked for; ``old`` is the generation before."""
+
+    def __init__(self, learn: Callable[[str], bytes], size: int):
+        super().__init__()
+        self.learn, self.size = learn, size
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        self[word] = ids = self.learn(word) if ids is None else ids
+        return ids
+
+    def turn(self) -> None:
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of whole texts as bytes, as the tokenizer's plain call gives them, with memory of what was met.
 
@@ -124,7 +144,8 @@ class Encoder:
             and split.get("use_regex", True)
             and not split.get("add_prefix_space")
         )
-        self.pieces, self.words = Memory(REMEMBERED), Memory(REMEMBERED)
+        self.model = self.tokenizer.model if self.by_word else None
+        self.pieces, self.words = Memory(REMEMBERED), Words(self._word, 2 * REMEMBERED)
 
     def _packed(self, ids) -> bytes:
         out = array(self.code, ids)
@@ -135,13 +156,14 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [self._packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(_LETTERS)
+        return self._packed([t.id for t in self.model.tokenize(letters)])
+
     def _by_word(self, texts: list[str]) -> list[bytes]:
-        cut = [_PLAIN_WORDS.findall(t) for t in texts]
         self.words.turn()
-        tokenize, ids = self.tokenizer.model.tokenize, self.words.new
-        for word in self.words.missing(cut):
-            ids[word] = self._packed([t.id for t in tokenize(word.encode().decode("latin-1").translate(_LETTERS))])
-        return [b"".join([ids[w] for w in found]) for found in cut]
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, _PLAIN_WORDS.findall(t))) for t in texts]
 
     def _by_piece(self, texts: list[str]) -> list[bytes]:
         cut = [PIECES.findall(t) for t in texts]
