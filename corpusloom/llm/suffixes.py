@@ -5,7 +5,8 @@ as the suffixes of equal first symbol and are processed in descending order. Eac
 points to its previous smaller one (the nearest suffix to the left in a lower group); what a group's
 suffixes point to moves to a new, next higher group, those pointed to more often further up. With the
 groups in Lyndon order, one ascending sweep over the array emits the order inside every group by following
-the same pointers.
+the same pointers. Nothing is sorted by comparison: suffixes start in buckets by symbol, and a group's members
+are taken in any order, as a walk to the left gives all members it meets the same pointer.
 """
 
 from __future__ import annotations
@@ -13,43 +14,63 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 
+#: Pointer of a suffix whose group has not been processed.
+OPEN = -2
+
+
+def _often_first(pointed: dict[int, int], most: int) -> list[list[int]]:
+    """What is pointed to, by how often, most often first; no more than ``most`` pointers in all."""
+    by: dict[int, list[int]] = {}
+    for p, times in pointed.items():
+        by.setdefault(times, []).append(p)
+    if len(by) < 2:
+        return list(by.values())
+    return [by[times] for times in range(min(most, max(by)), 0, -1) if times in by]
+
+
 def grouped(s: Sequence[int]) -> tuple[list[int], list[int]]:
-    """Start of the Lyndon group of every suffix, and its previous-smaller pointer (-1: none)."""
+    """Start of the Lyndon group of every suffix, and its previous-smaller pointer (-1: none). Symbols are
+    numbers from 0, not far above the length of ``s``."""
     n = len(s)
-    order = sorted(range(n), key=s.__getitem__)
+    buckets: list[list[int]] = [[] for _ in range(max(s, default=-1) + 1)]
+    for i, symbol in enumerate(s):
+        buckets[symbol].append(i)
+    order: list[int] = []
     place = [0] * n
     group = [0] * n
     size = [0] * n
-    start, before = 0, None
-    for k, i in enumerate(order):
-        if s[i] != before:
-            start, before = k, s[i]
-        place[i] = k
-        group[i] = start
-        size[start] += 1
-    previous = [-1] * n
+    for bucket in buckets:
+        if bucket:
+            start = len(order)
+            size[start] = len(bucket)
+            for k, i in enumerate(bucket, start):
+                place[i] = k
+                group[i] = start
+            order.extend(bucket)
+    previous = [OPEN] * n
     end = n
     while end:
         start = group[order[end - 1]]
-        if end - start == 1:
-            members = (order[start],)
-        else:
-            members = sorted(order[start:end])
         pointed: dict[int, int] = {}
-        for i in members:
+        for i in order[start:end]:
+            if previous[i] != OPEN:
+                continue
+            met = [i]
             p = i - 1
             while p >= 0 and group[p] >= start:
-                p = previous[p]
-            previous[i] = p
+                q = previous[p]
+                if q == OPEN:  # of this group, and not reached yet
+                    met.append(p)
+                    q = p - 1
+                p = q
+            for m in met:
+                previous[m] = p
             if p >= 0:
-                pointed[p] = pointed.get(p, 0) + 1
+                pointed[p] = pointed.get(p, 0) + len(met)
         if len(pointed) == 1:
             rounds = [list(pointed)]
         else:
-            by: dict[int, list[int]] = {}
-            for p, times in pointed.items():
-                by.setdefault(times, []).append(p)
-            rounds = [by[times] for times in sorted(by, reverse=True)]
+            rounds = _often_first(pointed, end - start)
         for targets in rounds:
             moved: dict[int, int] = {}
             for p in targets:
