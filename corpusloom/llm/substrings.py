@@ -45,6 +45,9 @@ BROADCAST = 4_000_000
 #: Rows of one gram from which on its occurrences are laid out in slices.
 HOT_FLOOR = 20_000
 
+#: Bytes of the pieces from which hot grams are estimated.
+PIECE = 1 << 16
+
 #: place = 24 bits for the number of the document among those of its id, then 39 bits of position.
 _POSITION = (1 << 39) - 1
 
@@ -69,6 +72,19 @@ def _ties(texts: DataFrame) -> DataFrame:
     return keyed.join(numbers.select(*key, number.alias("tie")), key).drop(*key)
 
 
+def _pieces(texts: DataFrame, look: int) -> DataFrame:
+    """One in ``look`` of the PIECE-byte pieces of all texts, as texts of their own (``doc_id, text, tie``).
+    Windows over a border are not seen, so this serves estimates alone."""
+    at = F.explode(F.sequence(F.lit(0), F.expr(f"cast((octet_length(text) - 1) div {PIECE} as int)")))
+    cut = texts.where(F.octet_length("text") > 0).select("doc_id", "text", "tie", at.alias("_piece"))
+    cut = cut.where(F.pmod(F.xxhash64("doc_id", "tie", "_piece"), F.lit(look)) == 0)
+    return cut.select(
+        "doc_id",
+        F.substring(F.col("text").cast("binary"), F.col("_piece") * PIECE + 1, F.lit(PIECE)).alias("text"),
+        F.col("_piece").cast("long").alias("tie"),
+    )
+
+
 def _parts(at: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:
     """Row ranges of about PART bytes, and pieces of longer rows that overlap by length - 1 bytes: first
     row, end row, first byte, end byte."""
@@ -302,7 +318,9 @@ def removals(
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     texts = _ties(docs.select("doc_id", "text"))
     found = texts.where(F.octet_length("text") >= length).mapInArrow(_occurrences(length), f"h long, doc_id {kind}, place long, around long")
-    hot = hot_keys(found, ["h"], ["doc_id", "place"], floor, look, keep=True)
+    # hot grams are looked for in pieces of the texts, drawn before the costly step
+    drawn = _pieces(texts, look).mapInArrow(_occurrences(length), f"h long, doc_id {kind}, place long, around long")
+    hot = hot_keys(drawn, ["h"], ["doc_id", "place"], max(1, floor // look), 1, keep=True)
     found = found.withColumn("cut", F.lit(0).cast("long")) if hot is None else (
         found.join(F.broadcast(hot), "h", "left")  # at most 10,000 rows
         .withColumn("cut", F.coalesce(F.pmod(F.xxhash64("doc_id", "place"), F.col("_slices")) + 1, F.lit(0)))

@@ -53,10 +53,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column and its row offsets; NULL counts as empty."""
+    """The bytes of a string or binary column and its row offsets; NULL counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_string())
+    texts = texts.cast(pa.large_binary() if pa.types.is_binary(texts.type) else pa.large_string())
     if texts.null_count:
         texts = texts.fill_null("")
     _, offsets, data = texts.buffers()

@@ -270,3 +270,17 @@ def test_documents_of_one_id_are_told_apart_exactly(spark):
     # ids that are NULL come first; of them the text with tie 0 keeps all
     first = next(t for t, k in order.items() if k == 0)
     assert (None, len(first.encode()), 0) in got and (1, 151, 150) in got
+
+
+def test_hot_grams_are_drawn_from_pieces(spark, monkeypatch):
+    """Pieces are cut at bytes, also inside a character, and put together give every text."""
+    texts = ["\u00f6\u65e5" * 50, "", None, "x" * 64, "y" * 65]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, tie long")
+    monkeypatch.setattr(substrings, "PIECE", 64)
+    rows = substrings._pieces(docs, 1).collect()
+    for i, text in enumerate(texts):
+        pieces = [r.text for r in sorted((r for r in rows if r.doc_id == i), key=lambda r: r.tie)]
+        assert b"".join(pieces) == (text or "").encode()
+        assert all(len(p) == 64 for p in pieces[:-1])
+    some = substrings._pieces(docs, 3).collect()
+    assert 0 < len(some) < len(rows)
