@@ -85,6 +85,7 @@ def two_pass(
     keep_battery: bool = False,
     tasks: int | None = None,
     ledger: Ledger | None = None,
+    program: str = "",
 ) -> DataFrame:
     """Entities (``domain, entity_id, entity_name, ordinal, entity_json, source_data, source_hash``)
     to the same rows with ``pairs``. Rows without items from the first pass get no second prompt,
@@ -94,10 +95,10 @@ def two_pass(
     user = prompts.user_prompt(domain, F.col("entity_id"), F.col("user_json"), F.col("entity_name"))
     base = entities.columns
     rows = (entities if ledger is not None else spread(entities, tasks)).withColumn("user_json", indent_json("entity_json"))
-    rows = rows.withColumn("system", F.lit(prompts.battery_system(spec.name))).withColumn("user", user)
+    rows = rows.withColumn("system", F.lit(prompts.battery_system(spec.name, program))).withColumn("user", user)
     rows = _answered(rows, factory, "first", max_tokens, ledger, tasks)
 
-    before, after = prompts.discovery_parts(spec.name)
+    before, after = prompts.discovery_parts(spec.name, program)
     existing = F.concat(F.lit(before), prompts.existing_block(F.col("battery_items")), F.lit(after))
     rows = pairing.parse_battery(rows, "first_text")
     rows = rows.withColumn("system", F.when(F.size("battery_items") > 0, existing))

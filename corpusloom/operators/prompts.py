@@ -126,12 +126,17 @@ def guidance_block(domain: str) -> str:
     return "\n".join(lines)
 
 
-def battery_system(domain: str) -> str:
-    """First pass: exactly one pair per field group."""
+def _owned(display: str, program: str) -> str:
+    """A catalog by its owner's name; nothing is said of the owner without one."""
+    return f"{program} {display}" if program else display
+
+
+def battery_system(domain: str, program: str = "") -> str:
+    """First pass: exactly one pair per field group. ``program`` is the catalog owner's name."""
     spec = REGISTRY[domain]
     return "\n\n".join(
         [
-            f"You write question/answer pairs about {spec.display}. You get the data of one "
+            f"You write question/answer pairs about {_owned(spec.display, program)}. You get the data of one "
             f"{spec.entity_type}. Write exactly one pair for each field group below; leave a group "
             "out only when the data has nothing for it.",
             f"Field groups:\n{guidance_block(domain)}",
@@ -141,11 +146,11 @@ def battery_system(domain: str) -> str:
     )
 
 
-def discovery_parts(domain: str) -> tuple[str, str]:
+def discovery_parts(domain: str, program: str = "") -> tuple[str, str]:
     """Second pass: the text before and after the list of pairs that exist already."""
     spec = REGISTRY[domain]
     before = (
-        f"You write question/answer pairs about {spec.display}. You get the data of one "
+        f"You write question/answer pairs about {_owned(spec.display, program)}. You get the data of one "
         f"{spec.entity_type} and the pairs written for it so far. Find what they miss.\n\n"
         "Pairs so far:\n\n"
     )
@@ -169,8 +174,8 @@ def by_domain(domain: Column, texts: dict[str, str]) -> Column:
     )
 
 
-def battery_prompt(domain: Column) -> Column:
-    return by_domain(domain, {d: battery_system(d) for d in REGISTRY})
+def battery_prompt(domain: Column, program: str = "") -> Column:
+    return by_domain(domain, {d: battery_system(d, program) for d in REGISTRY})
 
 
 def existing_block(items: Column) -> Column:
@@ -188,8 +193,8 @@ def existing_block(items: Column) -> Column:
     return F.when(F.size(items) > 0, F.array_join(lines, "\n")).otherwise(F.lit(NO_PAIRS))
 
 
-def discovery_prompt(domain: Column, items: Column) -> Column:
-    parts = {d: discovery_parts(d) for d in REGISTRY}
+def discovery_prompt(domain: Column, items: Column, program: str = "") -> Column:
+    parts = {d: discovery_parts(d, program) for d in REGISTRY}
     before = by_domain(domain, {d: p[0] for d, p in parts.items()})
     after = by_domain(domain, {d: p[1] for d, p in parts.items()})
     return F.concat(before, existing_block(items), after)

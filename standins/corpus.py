@@ -338,6 +338,32 @@ def battery_prompts(spark, sf):
     )
 
 
+CATALOGS = list(REGISTRY)
+
+
+def _owner_sql() -> str:
+    names = ", ".join(f"({n}, {quote(REGISTRY[d].display)})" for n, d in enumerate(CATALOGS))
+    return f"""
+      WITH g(n, display) AS (VALUES {names})
+      SELECT s_suppkey, 'Supplier ' || display AS battery_owner, 'Supplier ' || display AS discovery_owner, display AS unnamed
+      FROM supplier JOIN g ON n = s_suppkey % {len(CATALOGS)}"""
+
+
+@query("owner_prompts", _owner_sql())
+def owner_prompts(spark, sf):
+    """The catalog owner in the prompts of both passes; none without a name."""
+    domain = F.get(F.array(*[F.lit(d) for d in CATALOGS]), (F.col("s_suppkey") % len(CATALOGS)).cast("int"))
+    none = F.array().cast("array<struct<question:string,answer:string>>")
+    rows = table(spark, sf, "supplier").select(
+        "s_suppkey",
+        prompts.battery_prompt(domain, "Supplier").alias("battery_owner"),
+        prompts.discovery_prompt(domain, none, "Supplier").alias("discovery_owner"),
+        prompts.battery_prompt(domain).alias("unnamed"),
+    )
+    about = lambda c: F.regexp_extract(c, r"pairs about (.*?)\. You get", 1).alias(c)
+    return rows.select("s_suppkey", about("battery_owner"), about("discovery_owner"), about("unnamed"))
+
+
 # ---- judge ---------------------------------------------------------------------------------------------------------
 
 SCORES_SQL = """

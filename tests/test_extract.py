@@ -198,6 +198,8 @@ def test_prompts_of_every_domain(spark):
         text = prompts.battery_system(name)
         assert spec.entity_type in text and len(prompts.FIELD_GROUPS[name]) == prompts.guidance_block(name).count("Data fields")
         assert all(fields in text for fields, _, _ in prompts.FIELD_GROUPS[name])
+        owned = [prompts.battery_system(name, "Demo"), prompts.discovery_parts(name, "Demo")[0]]
+        assert all(f"about Demo {spec.display}." in t for t in owned) and f"about {spec.display}." in text
     df = spark.createDataFrame([("x", [])], "d string, i array<struct<question:string,answer:string>>")
     assert prompts.NO_PAIRS in df.select(prompts.existing_block(F.col("i"))).first()[0]
     row = spark.range(1).select(prompts.user_prompt(F.lit("d"), F.lit("7"), F.lit("{}"), F.lit(""))).first()
