@@ -374,6 +374,13 @@ def feature_members(resources: DataFrame) -> DataFrame:
     return by_element(resources, "features").where(F.col("group").isin(FEATURES))
 
 
+def distinct_members(members: DataFrame) -> DataFrame:
+    """Every entity once per group, at its first place. By default a repeat counts: one that lists two spellings
+    of a value is two members. One row per entity leaves a task, so repeats do not reach the shuffle."""
+    first = W.partitionBy("group", "entity_id").orderBy("ordinal", "sub")
+    return members.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+
+
 # ---- short resource names ------------------------------------------------------------------------
 
 
@@ -589,31 +596,37 @@ def generate(
     groups: DataFrame | None = None,
     program: str = "catalog",
     chunk: int = CHUNK,
+    distinct: bool = False,
 ) -> DataFrame | None:
-    """All comparisons over the records of the given domains; a domain left out is skipped."""
+    """All comparisons over the records of the given domains; a domain left out is skipped. With ``distinct``
+    an entity counts and is listed once per group."""
     t = templates(program)
+    once = distinct_members if distinct else lambda members: members
     out = []
     if resources is not None:
-        out.append(listing(gpu_members(resources), t["gpu"], chunk))
-        out.append(listing(feature_members(resources), t["feature"], chunk))
-        out.append(listing(by_element(resources, "organizations"), t["organization"], chunk))
+        out.append(listing(once(gpu_members(resources)), t["gpu"], chunk))
+        out.append(listing(once(feature_members(resources)), t["feature"], chunk))
+        out.append(listing(once(by_element(resources, "organizations")), t["organization"], chunk))
     if software is not None:
         if resources is None:
             empty = "entity_id string, name string, ordinal bigint, has_gpu boolean"
             resources = software.sparkSession.createDataFrame([], empty)
         links = installed(software)
         several = installed(software.where(F.size("resources") >= SMALL_MINIMUM))
-        out.append(software_listing(several, resources, t["software"], chunk))
+        if distinct:
+            out.append(listing(once(software_members(several, resources)), t["software"], chunk))
+        else:
+            out.append(software_listing(several, resources, t["software"], chunk))
         out.append(listing(gpu_software_members(links, resources), t["gpu_software"], chunk))
     if projects is not None:
-        out.append(sampled(by_field(projects, "fos"), t["project_field"]))
-        out.append(sampled(by_field(projects, "institution"), t["project_institution"]))
-        out.append(sampled(by_element(projects, "resource_names"), t["project_resource"]))
+        out.append(sampled(once(by_field(projects, "fos")), t["project_field"]))
+        out.append(sampled(once(by_field(projects, "institution")), t["project_institution"]))
+        out.append(sampled(once(by_element(projects, "resource_names")), t["project_resource"]))
     if awards is not None:
-        out.append(sampled(by_field(awards, "fund_program_name"), t["award_program"]))
-        out.append(sampled(by_field(awards, "institution"), t["award_institution"]))
+        out.append(sampled(once(by_field(awards, "fund_program_name")), t["award_program"]))
+        out.append(sampled(once(by_field(awards, "institution")), t["award_institution"]))
     if groups is not None:
-        out.append(listing(by_field(groups, "category"), t["group_category"], chunk))
+        out.append(listing(once(by_field(groups, "category")), t["group_category"], chunk))
     if not out:
         return None
     result = out[0]

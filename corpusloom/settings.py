@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class ExtractionConfig:
-    """Knobs of one extraction run. ``program`` is the catalog owner named in comparison texts."""
+    """Knobs of one extraction run. ``program`` is the catalog owner named in prompts and comparison texts."""
 
     max_entities: int | None = None
     max_tokens: int = 2048
@@ -21,6 +21,8 @@ class ExtractionConfig:
     no_judge: bool = False
     entity_ids: tuple[str, ...] | None = None
     program: str = "catalog"
+    #: comparisons count an entity once per group
+    distinct: bool = False
 
     @classmethod
     def from_env(cls, **overrides) -> ExtractionConfig:
@@ -82,9 +84,11 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Keep ``df`` as a columnar table in the shared folder: for frames with several readers that
-    need different columns of it."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    need different columns of it. It is read by ``spark``, where that is another session than the frame's
+    (micro-batches have one of their own)."""
+    spark = spark or df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

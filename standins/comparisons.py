@@ -163,6 +163,16 @@ def cmp_gpu(spark, sf):
     return flat(compare.listing(compare.gpu_members(resources(spark, sf)), T["gpu"]))
 
 
+@query(
+    "cmp_gpu_distinct",
+    listing_sql(f"SELECT grp, label, name, ordinal, min(sub) AS sub, entity_id FROM ({GPU_SQL}) GROUP BY ALL", T["gpu"]),
+)
+def cmp_gpu_distinct(spark, sf):
+    """Resources that name a model twice count once."""
+    members = compare.distinct_members(compare.gpu_members(resources(spark, sf)))
+    return flat(compare.listing(members, T["gpu"]))
+
+
 FEATURE_SQL = f"""
   SELECT feature AS grp, feature AS label, name, ordinal, 0 AS sub, entity_id FROM (
     SELECT *, unnest([CASE WHEN s_acctbal > 4000 THEN 'GPU Acceleration' END,

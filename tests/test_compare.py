@@ -231,3 +231,23 @@ def test_sample_state_is_bounded_and_merges(spark, monkeypatch):
             assert list(row.resources) == ids and str(count) in row.answer
             at = [row.answer.index(n) for n in dict.fromkeys(names)]
             assert at == sorted(at)
+
+
+def test_distinct_counts_an_entity_once(spark):
+    twice = [(*r[:4], ["A100", "NVIDIA A100 80GB", "V100"], r[5], r[6]) if r[1] == 0 else r for r in RESOURCES]
+    found = spark.createDataFrame(twice, resources(spark).schema)
+    listed = spark.createDataFrame([("gcc", 0, "GCC", ["delta", "Delta", "expanse"])], software(spark).schema)
+    repeated = projects(spark, [("P1", 0, "Z", "CS", "MIT", ["Disk", "Disk", "Disk"])])
+
+    def members(distinct):
+        made = compare.generate(found, listed, repeated, distinct=distinct)
+        return {r.id: list(r.resources) for r in made.select("id", "resources").collect()}
+
+    bag, once = members(False), members(True)
+    delta, bridges, expanse = (r[0] for r in RESOURCES)
+    a100 = next(k for k in bag if k.startswith("cmp_gpu_") and "a100" in k)
+    v100 = a100.replace("a100", "v100")
+    assert bag[a100] == [delta, delta] and a100 not in once
+    assert sorted(once[v100]) == sorted([delta, bridges, expanse])
+    assert sorted(bag["cmp_sw_gcc"]) == [delta, delta, expanse] and sorted(once["cmp_sw_gcc"]) == [delta, expanse]
+    assert [k for k in bag if k.startswith("cmp_alloc_res")] and not [k for k in once if k.startswith("cmp_alloc_res")]
