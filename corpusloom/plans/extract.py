@@ -88,10 +88,26 @@ def extract_domain(
     """One catalog. ``items`` has ``ordinal`` and the item's fields, ``details`` ``entity_id, detail``. With a
     ``ledger`` a run that is repeated after a failure asks only what has no answer yet."""
     config = config or ExtractionConfig()
-    picked = domains.attach_details(domains.pick(spec, items, config), details, spec)
+    picked = domains.pick(spec, items, config)
+    return extract_picked(spec, picked, backend, config, details, judge, cache, tasks, ledger)
+
+
+def extract_picked(
+    spec: domains.DomainSpec,
+    picked: DataFrame,
+    backend: infer.Factory,
+    config: ExtractionConfig,
+    details: DataFrame | None = None,
+    judge: infer.Factory | None = None,
+    cache: DataFrame | None = None,
+    tasks: int | None = None,
+    ledger: Ledger | None = None,
+) -> DomainRun:
+    """``extract_domain`` from the entities of the run on (see ``domains.pick``)."""
+    picked = domains.attach_details(picked, details, spec)
     # read by the plan, the replay, the generation and the records: parse and clean only once
     rows = written(incremental.with_hash(domains.cleaned(spec, picked, config)))
-    spark = items.sparkSession
+    spark = picked.sparkSession
     planned = incremental.plan(
         rows, tables.empty_cache(spark) if cache is None else cache, spec.keep_first
     )
@@ -106,7 +122,7 @@ def extract_domain(
         "source_hash",
         "full_hash",
     )
-    made = infer.two_pass(todo, spec, backend, config.max_tokens, tasks=tasks, ledger=ledger)
+    made = infer.two_pass(todo, spec, backend, config.max_tokens, tasks=tasks, ledger=ledger, program=config.program)
     made = infer.judge(made, None if config.no_judge else judge, config.max_tokens, ledger, tasks)
     kept = incremental.replay(planned)
     fresh = pairing.explode_pairs(made)
@@ -157,6 +173,7 @@ def run(
         awards=out.records.get("nsf-awards"),
         groups=out.records.get("affinity-groups"),
         program=config.program,
+        distinct=config.distinct,
     )
     if comparisons is not None:
         out.pairs["comparisons"] = comparison_pairs(comparisons)

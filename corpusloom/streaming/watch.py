@@ -12,9 +12,13 @@ from ..settings import ExtractionConfig
 from ..sources import landed, tables
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages as a stream of ``path, value``; they are numbered within each micro-batch."""
-    rows = spark.readStream.format("text").option("wholetext", "true").load(path)
+def read_pages(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Landed pages as a stream of ``path, value``; numbers are given within each micro-batch (``watch``) or
+    go on from batch to batch (``follow``)."""
+    rows = spark.readStream.format("text").option("wholetext", "true")
+    if files_per_batch is not None:
+        rows = rows.option("maxFilesPerTrigger", files_per_batch)
+    rows = rows.load(path)
     return rows.select(F.col("_metadata.file_path").alias("path"), "value")
 
 

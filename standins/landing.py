@@ -26,10 +26,10 @@ def escaped(line):
     return F.substring(quoted, F.lit(3), F.length(quoted) - 4)
 
 
-def land(rows, head, tail, inner=lambda line: line):
+def land(rows, head, tail, inner=lambda line: line, folder=None):
     """``rows`` (page, o, line) as one document per page: items in the order of ``o`` between ``head`` and
-    ``tail``. Returns the folder."""
-    folder = f"{checkpoint_dir(rows.sparkSession).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    ``tail``. Returns the folder, a new one by default."""
+    folder = folder or f"{checkpoint_dir(rows.sparkSession).rstrip('/')}/landed-{uuid.uuid4().hex}"
     place = F.row_number().over(W.partitionBy("page").orderBy("o"))
     lines = rows.withColumn("n", place).select("page", "n", inner(F.concat(F.when(F.col("n") > 1, ",").otherwise(""), "line")).alias("value"))
     edges = rows.select("page").distinct().select(
