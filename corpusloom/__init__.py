@@ -6,6 +6,7 @@ from .plans.extract import Run, extract_domain, run, scan_catalog, scan_catalog_
 from .plans.inspect import coverage, stats
 from .plans.publish import open_store, publish_run, push, push_file, push_snapshots, validate
 from .settings import ExtractionConfig, build_session
+from .streaming.follow import follow, open_landing
 
 __all__ = [
     "REGISTRY",
@@ -16,6 +17,8 @@ __all__ = [
     "build_session",
     "coverage",
     "extract_domain",
+    "follow",
+    "open_landing",
     "open_store",
     "publish_run",
     "push",
