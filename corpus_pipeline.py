@@ -65,7 +65,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", shard_rows),
 ]
 
-#: SQL cannot express the trained toxicity model; tests hold the stages against brute force.
+#: SQL cannot express the trained toxicity model. The operators have tests against brute force; of the chain the
+#: tests compare counts and repeated runs.
 ORACLE_SQL = None
 
 

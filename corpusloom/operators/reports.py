@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..settings import written
 from .select import present
 
 SAMPLE_IDS = 5
@@ -92,6 +93,23 @@ def coverage(
     )
 
 
+def counted(items: DataFrame, source: str, id_column: str = "entity_id") -> DataFrame:
+    """``coverage`` by different ids, where reading the items is the cost: one pass reduces them to one row
+    per id (combined before the shuffle), which is written; the counts and the sample read those."""
+    key = F.when(present(id_column), F.col(id_column).cast("string"))
+    ids = written(items.groupBy(key.alias("_id")).agg(F.count(F.lit(1)).alias("_n")))
+    found = ids.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("fetched"), F.count("_id").alias("unique_entities"))
+    least = ids.where("_id IS NOT NULL").orderBy("_id").limit(SAMPLE_IDS)
+    sample = least.agg(F.array_join(F.sort_array(F.collect_list("_id")), ", ").alias("sample_ids"))
+    return found.select(
+        F.lit(source).alias("source"),
+        F.lit("list-all").alias("strategy"),
+        "fetched",
+        "unique_entities",
+        sample.scalar().alias("sample_ids"),
+    )
+
+
 def coming_soon(name: str = "name", description: str = "description") -> Column:
     """Announced resources without a description; the coverage report leaves them out."""
     return F.col(name).contains("COMING SOON") & (F.coalesce(F.col(description), F.lit("")) == "")

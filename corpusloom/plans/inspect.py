@@ -9,21 +9,24 @@ from ..operators import domains, reports
 from ..sources import landed
 
 
-def coverage(pages: dict[str, DataFrame]) -> DataFrame:
+def coverage(pages: dict[str, DataFrame], exact: bool = False) -> DataFrame:
     """One report row per catalog, from its landed pages (``page, value``).
 
     Software and groups count different ids. Projects are estimated from their first page, as a
-    full fetch is not needed for a report.
+    full fetch is not needed for a report; where all pages have landed, ``exact`` counts them and their
+    different ids.
     """
     rows = None
     for name, frame in pages.items():
-        one = _coverage_of(domains.REGISTRY[name], frame)
+        one = _coverage_of(domains.REGISTRY[name], frame, exact)
         rows = one if rows is None else rows.unionByName(one)
     return rows
 
 
-def _coverage_of(spec: domains.DomainSpec, pages: DataFrame) -> DataFrame:
+def _coverage_of(spec: domains.DomainSpec, pages: DataFrame, exact: bool = False) -> DataFrame:
     items = landed.explode_items(pages, spec.item_type, spec.list_keys)
+    if spec.name == "allocations" and exact:
+        return reports.counted(items.select(domains.text_or_empty(spec.entity_id()).alias("entity_id")), spec.name)
     if spec.name == "allocations":
         first = landed.page_total(pages)
         items = landed.explode_items(first, spec.item_type, spec.list_keys)

@@ -560,3 +560,17 @@ def coverage_pages(spark, sf):
     from corpusloom.plans.inspect import coverage
 
     return coverage({"allocations": project_pages(spark, sf), "nsf-awards": award_pages(spark, sf)})
+
+
+@query(
+    "coverage_exact",
+    f"""WITH ids AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey::varchar ELSE 'REQ' || o_orderkey END AS id FROM ({ORDER_ITEM_SQL}))
+        SELECT 'allocations' AS source, 'list-all' AS strategy, count(*) AS fetched, count(DISTINCT id) AS unique_entities,
+          (SELECT string_agg(id, ', ' ORDER BY id) FROM (SELECT DISTINCT id FROM ids ORDER BY id LIMIT 5)) AS sample_ids
+        FROM ids""",
+)
+def coverage_exact(spark, sf):
+    """Projects counted on all landed pages."""
+    from corpusloom.plans.inspect import coverage
+
+    return coverage({"allocations": project_pages(spark, sf)}, exact=True)

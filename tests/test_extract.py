@@ -280,6 +280,17 @@ def test_coverage_of_all_catalogs(spark):
     }
 
 
+def test_exact_coverage_of_projects(spark):
+    from corpusloom import coverage
+
+    data = [{"projects": [{"projectId": 1}, {"requestNumber": "r"}, {}], "pages": 9}, {"projects": [{"projectId": 1}, {"projectId": 3}]}]
+    pages = spark.createDataFrame([(n, json.dumps(d)) for n, d in enumerate(data, 1)], "page bigint, value string")
+    (row,) = coverage({"allocations": pages}, exact=True).collect()
+    assert (row.fetched, row.unique_entities, row.sample_ids) == (5, 3, "1, 3, r")
+    (row,) = coverage({"allocations": pages.where("page > 9")}, exact=True).collect()
+    assert (row.fetched, row.unique_entities, row.sample_ids) == (0, 0, "")
+
+
 def test_new_domain_with_pre_filter(spark):
     spec = domains.DomainSpec(
         name="datasets", collection="sets", item_type="struct<id:string,name:string,year:int>", list_keys=("sets",),
