@@ -243,6 +243,8 @@ def listing(
 
 #: Rows that a task combines at a time.
 COMBINE = 1 << 17
+#: Rows of states that a task holds when it has whole groups.
+HELD = 1 << 18
 
 
 def _bounded(rows: pa.Table) -> pa.Table:
@@ -266,41 +268,45 @@ def _bounded(rows: pa.Table) -> pa.Table:
     members = np.zeros(len(kept), np.int64)
     members[one] = total[group[kept][one]]
     out = rows.take(pa.array(kept))
-    return out.set_column(out.schema.get_field_index("members"), "members", pa.array(members))
+    at = out.schema.get_field_index("members")
+    return out.set_column(at, out.schema.field(at), pa.array(members))
 
 
-def _combined(members: DataFrame) -> DataFrame:
-    """``members`` with a count column, each task's part reduced to a bounded state per group (see
-    ``_bounded``); states merge by the same rule."""
+def _combined(members: DataFrame, most: int = COMBINE // 2) -> DataFrame:
+    """``members`` (with their count column), each task's part reduced to a bounded state per group (see
+    ``_bounded``); states merge by the same rule. States of more than ``most`` rows are passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        count = 0
+        count, full = 0, COMBINE
         for batch in batches:
-            held.append(batch.append_column("members", pa.array(np.ones(batch.num_rows, np.int64))))
+            held.append(batch)
             count += batch.num_rows
-            if count >= COMBINE:
+            if count >= full:
                 state = _bounded(pa.Table.from_batches(held).combine_chunks())
                 # many small groups: nothing to gain by holding them
-                if state.num_rows * 2 > COMBINE:
+                if state.num_rows > most:
                     yield from state.to_batches()
                     held, count = [], 0
                 else:
                     held, count = state.to_batches(), state.num_rows
+                full = max(COMBINE, 2 * count)
         if held:
             yield from _bounded(pa.Table.from_batches(held).combine_chunks()).to_batches()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema.fields)
-    return members.mapInArrow(run, f"{fields}, members long")
+    return members.mapInArrow(run, fields)
 
 
 def sampled(members: DataFrame, template: Template) -> DataFrame:
     """One pair per group with the member count and the first five names.
 
-    The input is read once: tasks reduce it to a count and at most ten rows per group, which one
-    shuffle brings together.
+    The input is read once: tasks reduce it to a count and at most ten rows per group. Where groups are so many
+    that a task sees little of each, the rows of a group are brought together and reduced again, so that
+    nothing but states is ever sorted.
     """
-    state = _combined(members.select(*MEMBER))
+    state = _combined(members.select(*MEMBER, F.lit(1).cast("long").alias("members")))
+    state = _combined(state.repartition("group"), HELD)
     whole = W.partitionBy("group", "label")
     placed = state.select(
         *MEMBER,

@@ -251,3 +251,17 @@ def test_distinct_counts_an_entity_once(spark):
     assert sorted(once[v100]) == sorted([delta, bridges, expanse])
     assert sorted(bag["cmp_sw_gcc"]) == [delta, delta, expanse] and sorted(once["cmp_sw_gcc"]) == [delta, expanse]
     assert [k for k in bag if k.startswith("cmp_alloc_res")] and not [k for k in once if k.startswith("cmp_alloc_res")]
+
+
+def test_many_groups_are_reduced_before_anything_is_sorted(spark, monkeypatch):
+    """Tasks that see little of each group pass their rows on; whole groups are reduced after the shuffle."""
+    states, combined = [], compare._combined
+    monkeypatch.setattr(compare, "_combined", lambda *a: states.append(combined(*a)) or states[-1])
+    rows = spark.range(0, 6000, 1, 4).selectExpr(
+        "concat('g', id % 150) AS group", "concat('g', id % 150) AS label", "concat('n', id) AS name",
+        "id AS ordinal", "0 AS sub", "CAST(id AS STRING) AS entity_id",
+    )
+    template = compare.templates("x")["project_resource"]
+    assert compare.sampled(rows, template).count() == 150
+    assert states[-1].count() <= 150 * 2 * compare.SAMPLE
+    assert states[-1].agg({"members": "sum"}).first()[0] == 6000
