@@ -165,10 +165,21 @@ class Ledger:
         bad = rows.where(F.col("error").isNotNull()).dropDuplicates(["key"]).join(good.select("key"), "key", "left_anti")
         return good.unionAll(bad)
 
+    def todo(self, prompts: DataFrame) -> DataFrame:
+        """The distinct ``prompts`` (key, system, user) that have no answer yet.
+
+        ``_at`` numbers the rows; prompts without it are written first. What is asked is decided on keys and
+        numbers alone: prompts are long, and hash aggregates and a hashed list of numbers sort none of them.
+        """
+        if "_at" not in prompts.columns:
+            prompts = written(prompts.withColumn("_at", F.monotonically_increasing_id()))
+        known = self.answers().where(F.col("error").isNull()).select("key")
+        first = prompts.groupBy("key").agg(F.min("_at").alias("_at")).join(known, "key", "left_anti")
+        return prompts.join(first.select("_at").hint("shuffle_hash"), "_at", "left_semi").select("key", "system", "user")
+
     def ask(self, prompts: DataFrame, factory: Factory, max_tokens: int, tasks: int | None = None) -> str:
         """Ask the distinct ``prompts`` (key, system, user) that have no answer yet; returns the job's folder."""
-        known = self.answers().where(F.col("error").isNull()).select("key")
-        todo = prompts.dropDuplicates(["key"]).join(known, "key", "left_anti").select("key", "system", "user")
+        todo = self.todo(prompts)
         tasks = tasks or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         name = f"responses-{uuid.uuid4().hex}"
         folder = f"{self.folder.rstrip('/')}/job-{uuid.uuid4().hex}"
@@ -183,7 +194,7 @@ class Ledger:
         own = F.concat(F.lit("none:"), F.monotonically_increasing_id().cast("string"))
         keyed = rows.withColumn("_key", F.when(F.col("system").isNotNull(), self.key(max_tokens)).otherwise(own))
         keyed = written(keyed.withColumn("_at", F.monotonically_increasing_id()))
-        prompts = keyed.where(F.col("system").isNotNull()).select(F.col("_key").alias("key"), "system", "user")
+        prompts = keyed.where(F.col("system").isNotNull()).select(F.col("_key").alias("key"), "_at", "system", "user")
         self.ask(prompts, factory, max_tokens, tasks)
         facts = keyed.drop("system", "user")
         found = self.answers().withColumnRenamed("key", "_key")

@@ -120,3 +120,17 @@ def test_two_passes_and_judge_give_the_same_with_a_ledger(spark, folders):
         return sorted(map(str, out.select("entity_id", pairs, "errors").collect()))
 
     assert made(book) == made(None) == made(book)
+
+
+def test_no_prompt_is_sorted_to_find_what_is_asked(spark, folders):
+    """The shuffle join of equal prompts is on numbers: sorts of whole prompts grow with a task's input."""
+    book = Ledger(spark, folders[1])
+    rows = spark.range(40).selectExpr("'s' AS system", "CAST(id % 7 AS STRING) AS user")
+    prompts = rows.withColumn("key", book.key(8))
+    todo = book.todo(prompts)
+    plan = todo._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortAggregate" not in plan
+    assert not [line for line in plan.split("\n") if " Sort [" in line and "user" in line]
+    assert sorted(r.user for r in todo.collect()) == list("0123456")
+    book.ask(prompts.where("user < 3"), logged(folders[0]), 8)
+    assert sorted(r.user for r in book.todo(prompts).collect()) == list("3456")
