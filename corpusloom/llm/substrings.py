@@ -330,24 +330,28 @@ def removals(
     place = ["doc_id", "place"]
     here = Window.partitionBy("h", "cut")
     same = Window.partitionBy("h", "cut", "around").orderBy(*place)
-    repeated = found.withColumn("k", F.count(F.lit(1)).over(here)).where("k > 1 or cut > 0").withColumn("turn", F.rank().over(same)).drop("k")
-    repeated = written(repeated)
-    again = Window.partitionBy("h", "around").orderBy(*place)
-    firsts = repeated.where("turn = 1").select("h", "around", *place).distinct()
-    firsts = written(firsts.withColumn("turn", F.rank().over(again)))
-    copies = repeated.where("turn > 1").select(*place).unionAll(firsts.where("turn > 1").select(*place))
+    repeated = found.withColumn("k", F.count(F.lit(1)).over(here)).where("k > 1 or cut > 0").drop("k")
+    repeated = written(repeated.withColumn("turn", F.rank().over(same)).withColumn("nth", F.row_number().over(same)))
+    copies = repeated.where("turn > 1").select(*place)
+    firsts = repeated.where("nth = 1").select("h", "around", *place, "cut")
+    kinds = firsts.drop("cut")
+    if hot is not None:
+        # what is first in its slice is looked at once more, over all slices of its gram
+        again = Window.partitionBy("h", "around").orderBy(*place)
+        sliced = written(firsts.where("cut > 0").drop("cut").withColumn("turn", F.rank().over(again)))
+        copies = copies.unionAll(sliced.where("turn > 1").select(*place))
+        kinds = firsts.where("cut = 0").drop("cut").unionAll(sliced.where("turn = 1").drop("turn"))
     spot = F.col("place").bitwiseAND(F.lit(_POSITION))
     tie = F.shiftright("place", 39)
     gone = copies.select("doc_id", tie.alias("tie"), F.greatest(spot - left, F.lit(0)).alias("first"), (spot + length).alias("end"))
 
-    kinds = firsts.where("turn = 1")
     sizes = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    several = written(kinds.join(sizes, "h").select("h", *place, "m"))
+    several = kinds.join(sizes, "h").select("h", *place, "m")
     wanted = several.groupBy(F.col("doc_id").alias("id_"), F.shiftright("place", 39).alias("tie_")).agg(
         F.collect_list(F.struct("h", "m", F.col("place").bitwiseAND(F.lit(_POSITION)).alias("at"))).alias("places")
     )
-    wanted = written(wanted)
-    size = wanted.agg(F.sum(F.size("places") + 1)).first()[0] or 0
+    # at most a row and a list entry for each place
+    size, most = (n or 0 for n in sizes.agg(2 * F.sum("m"), F.max("m")).first())
 
     def surroundings(batches):
         for batch in batches:
@@ -368,7 +372,7 @@ def removals(
 
     shown = _picked(texts, wanted, size).where("places is not null").select("doc_id", "text", "tie", "places")
     shown = shown.mapInArrow(surroundings, f"h long, doc_id {kind}, place long, before int, bytes binary, m long").dropDuplicates(["h", "doc_id", "place"])
-    wide = sizes.where(f"m > {group}").limit(1).count() > 0
+    wide = most > group
     if wide:
         shown = written(shown)
     small = shown.where(f"m <= {group}").repartition("h").sortWithinPartitions("h", *place)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,17 +30,17 @@ def hot_keys(
     Sizes are estimated on the rows whose ``spread`` hash falls in one of ``look`` classes, from the
     key columns alone. The estimate only decides how rows are balanced, never which rows are in
     the result. The list is fixed before the join is planned, so both sides see the same one. With
-    ``keep`` the counts are written, for ``facts`` that are costly to evaluate a second time.
+    ``keep`` the counts stay on disk until the list is made, for ``facts`` that are costly to evaluate a second time.
     """
     seen = facts.where(F.pmod(F.xxhash64(*spread), F.lit(look)) == 0).select(*keys)
     counts = seen.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     if keep:
-        counts = written(counts)
+        counts = counts.persist(StorageLevel.DISK_ONLY)
     # most frequent first; any key beyond the first HOT_SHARE has a smaller share than 1/HOT_SHARE
     large = counts.where(F.col("_n") * look >= floor).orderBy(F.desc("_n")).limit(HOT_SHARE).collect()
-    if not large:
-        return None
-    total = counts.agg(F.sum("_n")).first()[0]
+    total = counts.agg(F.sum("_n")).first()[0] if large else 0
+    if keep:
+        counts.unpersist()
     hot = [(*row[:-1], -(-row["_n"] * HOT_SHARE // total)) for row in large if row["_n"] * HOT_SHARE > total]
     if not hot:
         return None

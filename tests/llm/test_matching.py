@@ -284,3 +284,16 @@ def test_hot_grams_are_drawn_from_pieces(spark, monkeypatch):
         assert all(len(p) == 64 for p in pieces[:-1])
     some = substrings._pieces(docs, 3).collect()
     assert 0 < len(some) < len(rows)
+
+
+@pytest.mark.parametrize("floor", [2, 20_000])
+def test_removal_writes_a_table_only_for_what_is_costly(spark, monkeypatch, floor):
+    """A table takes a file from each task: the marked occurrences are written, and hot grams' first ones."""
+    kept, write = [], substrings.written
+    monkeypatch.setattr(substrings, "written", lambda df: kept.append(df.columns) or write(df))
+    letters = "".join(random.Random(3).choices("abcdefgh", k=700))
+    texts = [letters[k : k + 150] for k in (0, 0, 3, 400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = substrings.removals(docs, floor=floor, look=1).collect()
+    assert {r.id_ for r in rows} == {1, 2}
+    assert len(kept) == (2 if floor == 2 else 1)
