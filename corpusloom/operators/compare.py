@@ -273,8 +273,10 @@ def _bounded(rows: pa.Table) -> pa.Table:
 
 
 def _combined(members: DataFrame, most: int = COMBINE // 2) -> DataFrame:
-    """``members`` (with their count column), each task's part reduced to a bounded state per group (see
+    """``members`` with a count column, each task's part reduced to a bounded state per group (see
     ``_bounded``); states merge by the same rule. States of more than ``most`` rows are passed on."""
+    if "members" not in members.columns:
+        members = members.withColumn("members", F.lit(1).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -305,8 +307,7 @@ def sampled(members: DataFrame, template: Template) -> DataFrame:
     that a task sees little of each, the rows of a group are brought together and reduced again, so that
     nothing but states is ever sorted.
     """
-    state = _combined(members.select(*MEMBER, F.lit(1).cast("long").alias("members")))
-    state = _combined(state.repartition("group"), HELD)
+    state = _combined(_combined(members.select(*MEMBER)).repartition("group"), HELD)
     whole = W.partitionBy("group", "label")
     placed = state.select(
         *MEMBER,
